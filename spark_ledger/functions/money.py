@@ -33,3 +33,11 @@ def cents_to_amount(c) -> Column:
 def round_money(c, scale: int = 2) -> Column:
     """Presentation rounding for double sums (sums of doubles depend on order)."""
     return F.round(_c(c), scale)
+
+
+def round_to(c, scale: int = 2) -> Column:
+    """round(x * 10^s) / 10^s on DOUBLE — evaluated identically by SQL
+    engines (integer rounding of the same IEEE product), unlike decimal
+    rounding of a double."""
+    f = float(10 ** scale)
+    return F.round(_c(c) * f) / f

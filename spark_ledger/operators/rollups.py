@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from spark_ledger.functions import month_label
+from spark_ledger.functions import month_label, round_to
 from spark_ledger.operators.common import maybe_broadcast
 
 LEVEL_COLS = ("level1", "level2", "level3", "parent", "group_1", "group_2")
@@ -145,4 +145,4 @@ def net_worth_eop(monthly: DataFrame, by: list[str] | None = None, value_cols=("
 def _round_cols(df: DataFrame, cols, scale):
     if scale is None:
         return df
-    return df.select(*[F.round(c, scale).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return df.select(*[round_to(c, scale).alias(c) if c in cols else F.col(c) for c in df.columns])
