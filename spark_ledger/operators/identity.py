@@ -95,9 +95,9 @@ def drop_pending_in_file(txns: DataFrame, file_col: str = "source_file") -> Data
     keys = [c for c in (file_col,) if c in txns.columns] + ["account_id", "date", "amount_cents"]
     flag = is_orig_co()
     w = Window.partitionBy(*keys)
-    any_p = F.max(flag.cast("int")).over(w) == 1
-    all_p = F.min(flag.cast("int")).over(w) == 1
-    return txns.filter(~(flag & any_p & ~all_p))
+    t = (txns.withColumn("__p", flag.cast("int"))
+             .withColumn("__any", F.max("__p").over(w)).withColumn("__all", F.min("__p").over(w)))
+    return t.filter(~((F.col("__p") == 1) & (F.col("__any") == 1) & (F.col("__all") == 0))).drop("__p", "__any", "__all")
 
 
 def assign_txn_ids(df: DataFrame, order_col: str = "row_idx", file_col: str = "source_file") -> DataFrame:

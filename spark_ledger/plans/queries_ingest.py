@@ -1 +1,230 @@
-"""Registered queries."""
+"""Loading queries: upserts, snapshot replace, newest-file-wins, batch
+dedupe, column update by key — over inputs derived from the full tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from spark_ledger.functions import normalize_merchant_v1
+from spark_ledger.operators.common import keep_first
+from spark_ledger.operators import identity, upsert
+from spark_ledger.plans.registry import register
+from spark_ledger.plans.sql_snippets import merchant_norm_sql
+from spark_ledger.sources.fixtures import Tables, with_clause
+
+TXN_COLS = ["txn_id", "date", "account_id", "amount_cents", "amount", "description", "category", "memo", "tags",
+            "is_transfer"]
+
+
+def _orderkey(c="txn_id"):
+    return F.split_part(F.col(c), F.lit("-"), F.lit(1)).cast("long")
+
+
+def _target_staging(t: Tables):
+    """Target: transactions of even orders.  Staging: orders divisible by 3,
+    re-categorized so an update is visible."""
+    tx = t.transactions
+    target = tx.filter(_orderkey() % 2 == 0)
+    staging = tx.filter(_orderkey() % 3 == 0).withColumn("category", F.lit("staged"))
+    return target, staging
+
+
+TS_SQL = with_clause("transactions") + """,
+tgt AS (SELECT * FROM transactions WHERE CAST(split_part(txn_id, '-', 1) AS BIGINT) % 2 = 0),
+stg AS (SELECT txn_id, date, account_id, amount_cents, amount, description, 'staged' AS category, memo, tags, is_transfer
+        FROM transactions WHERE CAST(split_part(txn_id, '-', 1) AS BIGINT) % 3 = 0)"""
+
+
+@register("upsert_txns", TS_SQL + """
+SELECT * FROM tgt WHERE txn_id NOT IN (SELECT txn_id FROM stg) UNION ALL SELECT * FROM stg""")
+def q_upsert_txns(spark, sf_dir):
+    target, staging = _target_staging(Tables(spark, sf_dir))
+    return upsert.upsert(target, staging, ["txn_id"])
+
+
+@register("upsert_idempotent", TS_SQL + """
+SELECT * FROM tgt WHERE txn_id NOT IN (SELECT txn_id FROM stg) UNION ALL SELECT * FROM stg""")
+def q_upsert_idempotent(spark, sf_dir):
+    """Upsert applied twice equals upsert applied once."""
+    target, staging = _target_staging(Tables(spark, sf_dir))
+    once = upsert.upsert(target, staging, ["txn_id"])
+    return upsert.upsert(once, staging, ["txn_id"])
+
+
+@register("insert_ignore", TS_SQL + """
+SELECT * FROM tgt UNION ALL SELECT * FROM stg WHERE txn_id NOT IN (SELECT txn_id FROM tgt)""")
+def q_insert_ignore(spark, sf_dir):
+    target, staging = _target_staging(Tables(spark, sf_dir))
+    return upsert.insert_ignore(target, staging, ["txn_id"])
+
+
+# ------------------------------------------------------------ C-13 --------
+@register("snapshot_replace", with_clause("positions") + """,
+stg AS (SELECT as_of_date, account_id, symbol, shares, price, market_value * 1.01 AS market_value FROM positions
+        WHERE month(as_of_date) IN (1, 6) AND symbol NOT LIKE 'P1%'),
+k AS (SELECT DISTINCT as_of_date, account_id FROM stg)
+SELECT p.as_of_date, p.account_id, p.symbol, p.shares, ROUND(p.price * 1000000) / 1000000 AS price,
+       ROUND(p.market_value * 100) / 100 AS market_value
+FROM positions p WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.as_of_date = p.as_of_date AND k.account_id = p.account_id)
+UNION ALL SELECT as_of_date, account_id, symbol, shares, ROUND(price * 1000000) / 1000000, ROUND(market_value * 100) / 100 FROM stg""")
+def q_snapshot_replace(spark, sf_dir):
+    """Snapshots of January and June are re-staged without the P1* symbols
+    (sold) and revalued; those snapshots are replaced as a whole."""
+    pos = Tables(spark, sf_dir).positions
+    stg = pos.filter(F.month("as_of_date").isin(1, 6) & ~F.col("symbol").startswith("P1")) \
+             .withColumn("market_value", F.col("market_value") * 1.01)
+    r = upsert.snapshot_replace(pos, stg)
+    return (r.withColumn("price", F.round(F.col("price") * 1000000) / 1000000)
+             .withColumn("market_value", F.round(F.col("market_value") * 100) / 100))
+
+
+# ------------------------------------------------------------ C-9 ---------
+NEWEST_SRC_SQL = """
+SELECT last_day(CAST(l_shipdate AS DATE)) AS as_of_date, 'S' || CAST(l_suppkey AS STRING) AS account_id,
+       'P' || CAST(l_partkey % 50 AS STRING) AS symbol, l_quantity AS shares, l_extendedprice / l_quantity AS price,
+       l_extendedprice AS market_value, 'positions_' || CAST(l_orderkey % 3 AS STRING) || '.csv' AS source_file,
+       CAST(l_orderkey % 3 AS BIGINT) AS file_mtime, l_orderkey * 10 + l_linenumber AS row_idx
+FROM lineitem"""
+
+
+@register("newest_file_wins", "WITH src AS (" + NEWEST_SRC_SQL + """),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY as_of_date, account_id, symbol
+                                   ORDER BY file_mtime DESC, source_file DESC, row_idx) AS rn FROM src)
+SELECT as_of_date, account_id, symbol, shares, price, market_value, source_file FROM r WHERE rn = 1""")
+def q_newest_file_wins(spark, sf_dir):
+    """Position rows staged from several files (file = order mod 3, newer
+    mtime for a higher number); per (date, account, symbol) the newest file
+    wins, ties broken by path and then row order."""
+    li = Tables(spark, sf_dir).lineitem
+    src = li.select(
+        F.last_day(F.col("l_shipdate").cast("date")).alias("as_of_date"),
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("account_id"),
+        F.concat(F.lit("P"), (F.col("l_partkey") % 50).cast("string")).alias("symbol"),
+        F.col("l_quantity").alias("shares"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
+        F.col("l_extendedprice").alias("market_value"),
+        F.concat(F.lit("positions_"), (F.col("l_orderkey") % 3).cast("string"), F.lit(".csv")).alias("source_file"),
+        (F.col("l_orderkey") % 3).cast("long").alias("file_mtime"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_idx"))
+    order = [F.col("file_mtime").desc(), F.col("source_file").desc(), F.col("row_idx").asc()]
+    r = keep_first(src, ["as_of_date", "account_id", "symbol"], order)
+    return r.select("as_of_date", "account_id", "symbol", "shares", "price", "market_value", "source_file")
+
+
+# ------------------------------------------------------------ C-4 / C-5 ---
+@register("dedupe_batch", with_clause("transactions") + f""",
+k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY date, account_id, ROUND(amount, 2), {merchant_norm_sql('description')}
+                                   ORDER BY txn_id) AS rn FROM transactions)
+SELECT txn_id, date, account_id, amount, description FROM k WHERE rn = 1""")
+def q_dedupe_batch(spark, sf_dir):
+    """Intra-batch dedupe on (date, account, round(amount,2), merchant); the
+    txn_id order stands in for file row order."""
+    t = Tables(spark, sf_dir).transactions
+    return identity.dedupe_batch(t, order_col="txn_id").select("txn_id", "date", "account_id", "amount", "description")
+
+
+@register("anti_batch_dedupe", with_clause("transactions") + f""",
+ex AS (SELECT date, account_id, ROUND(amount, 2) AS a, {merchant_norm_sql('description')} AS m FROM transactions
+       WHERE CAST(split_part(txn_id, '-', 1) AS BIGINT) % 2 = 0),
+b AS (SELECT *, ROUND(amount, 2) AS a, {merchant_norm_sql('description')} AS m FROM transactions
+      WHERE CAST(split_part(txn_id, '-', 1) AS BIGINT) % 3 = 0)
+SELECT txn_id, date, account_id, amount, description FROM b
+WHERE NOT EXISTS (SELECT 1 FROM ex WHERE ex.date = b.date AND ex.account_id = b.account_id AND ex.a = b.a AND ex.m = b.m)""")
+def q_anti_batch_dedupe(spark, sf_dir):
+    """New batch (orders divisible by 3) against the normalized store (even
+    orders): rows already present by the batch key are dropped."""
+    tx = Tables(spark, sf_dir).transactions
+    existing = tx.filter(_orderkey() % 2 == 0)
+    batch = tx.filter(_orderkey() % 3 == 0)
+    return identity.anti_batch_dedupe(batch, existing).select("txn_id", "date", "account_id", "amount", "description")
+
+
+# ------------------------------------------------------------ C-6 ---------
+@register("pending_in_file", with_clause("transactions") + """,
+f AS (SELECT *, 'file_' || CAST(CAST(split_part(txn_id, '-', 1) AS BIGINT) % 4 AS VARCHAR) AS source_file,
+             COALESCE(contains(UPPER(description), 'ORIG CO'), FALSE) AS oc FROM transactions),
+g AS (SELECT *, MAX(CAST(oc AS INT)) OVER (PARTITION BY source_file, account_id, date, amount_cents) AS any_p,
+             MIN(CAST(oc AS INT)) OVER (PARTITION BY source_file, account_id, date, amount_cents) AS all_p FROM f)
+SELECT txn_id, source_file, account_id, date, amount_cents FROM g WHERE NOT (oc AND any_p = 1 AND all_p = 0)""")
+def q_pending_in_file(spark, sf_dir):
+    """Per file, pending 'ORIG CO' rows are dropped when a settled row of the
+    same (account, date, cents) exists in that file (files = order mod 4)."""
+    tx = Tables(spark, sf_dir).transactions.withColumn(
+        "source_file", F.concat(F.lit("file_"), (_orderkey() % 4).cast("string")))
+    return identity.drop_pending_in_file(tx).select("txn_id", "source_file", "account_id", "date", "amount_cents")
+
+
+# ------------------------------------------------------------ C-12 --------
+BAL_STAGE_SQL = """
+SELECT last_day(CAST(o_orderdate AS DATE)) AS as_of_date, 'S' || CAST(o_custkey % 100 AS STRING) AS account_id,
+       o_totalprice AS balance, 'balances_' || o_orderpriority || '.csv' AS source_file, o_orderkey AS row_idx
+FROM orders"""
+
+
+@register("balances_upsert", with_clause("balance_snapshot") + ", stg0 AS (" + BAL_STAGE_SQL + """),
+stg AS (SELECT as_of_date, account_id, balance FROM (
+          SELECT *, ROW_NUMBER() OVER (PARTITION BY as_of_date, account_id ORDER BY source_file DESC, row_idx DESC) AS rn
+          FROM stg0 WHERE month(as_of_date) IN (3, 9)) q WHERE rn = 1)
+SELECT as_of_date, account_id, ROUND(balance * 100) / 100 AS balance FROM balance_snapshot b
+WHERE NOT EXISTS (SELECT 1 FROM stg s WHERE s.as_of_date = b.as_of_date AND s.account_id = b.account_id)
+UNION ALL SELECT as_of_date, account_id, ROUND(balance * 100) / 100 FROM stg""")
+def q_balances_upsert(spark, sf_dir):
+    """Balance files (one per order priority) for March and September; per
+    (date, account) the last file in name order (then last row) wins and is
+    upserted into the balance snapshot."""
+    t = Tables(spark, sf_dir)
+    o = t.orders
+    stg = o.select(
+        F.last_day(F.col("o_orderdate").cast("date")).alias("as_of_date"),
+        F.concat(F.lit("S"), (F.col("o_custkey") % 100).cast("string")).alias("account_id"),
+        F.col("o_totalprice").alias("balance"),
+        F.concat(F.lit("balances_"), F.col("o_orderpriority"), F.lit(".csv")).alias("source_file"),
+        F.col("o_orderkey").alias("row_idx")).filter(F.month("as_of_date").isin(3, 9))
+    last = keep_first(stg, ["as_of_date", "account_id"], [F.col("source_file").desc(), F.col("row_idx").desc()])
+    r = upsert.upsert(t.balance_snapshot, last.select("as_of_date", "account_id", "balance"), ["as_of_date", "account_id"])
+    return r.withColumn("balance", F.round(F.col("balance") * 100) / 100)
+
+
+# ------------------------------------------------------------ C-14 --------
+UPD_SQL = """
+SELECT CASE WHEN p_partkey % 2 = 0 THEN 'p' ELSE 'P' END || CAST(p_partkey AS STRING) AS symbol,
+       p_retailprice / 100000 AS dividend_yield,
+       CASE WHEN p_partkey % 10 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END AS qualified_ratio
+FROM part WHERE p_partkey % 5 = 0"""
+
+
+@register("update_by_key", with_clause("security_dim") + ", upd AS (" + UPD_SQL + """)
+SELECT s.symbol, s.asset_class, s.region, s.style, s.size, s.expense_ratio,
+       CASE WHEN u.symbol IS NOT NULL THEN u.dividend_yield ELSE s.dividend_yield END AS dividend_yield,
+       CASE WHEN u.symbol IS NOT NULL THEN u.qualified_ratio ELSE s.qualified_ratio END AS qualified_ratio,
+       s.federal_taxable_ratio
+FROM security_dim s LEFT JOIN upd u ON lower(u.symbol) = lower(s.symbol)""")
+def q_update_by_key(spark, sf_dir):
+    """Security attributes updated from a file keyed by symbol in any case;
+    a matched row takes the file's value even when it is null."""
+    t = Tables(spark, sf_dir)
+    p = t.part
+    upd = p.filter(F.col("p_partkey") % 5 == 0).select(
+        F.concat(F.when(F.col("p_partkey") % 2 == 0, F.lit("p")).otherwise(F.lit("P")),
+                 F.col("p_partkey").cast("string")).alias("symbol"),
+        (F.col("p_retailprice") / 100000).alias("dividend_yield"),
+        F.when(F.col("p_partkey") % 10 == 0, F.lit(None).cast("double")).otherwise(F.lit(0.5)).alias("qualified_ratio"))
+    return upsert.update_columns_by_key(t.security_dim, upd, "symbol", ["dividend_yield", "qualified_ratio"])
+
+
+# ------------------------------------------------------------ B-5/C-3 -----
+@register("txn_id_v1", with_clause("transactions") + """,
+mn AS (SELECT txn_id AS src_id, date, account_id, amount_cents,
+              trim(regexp_replace(regexp_replace(lower(COALESCE(description, '')), '[^a-z0-9 ]+', '', 'g'), '\\s+', ' ', 'g')) AS merchant_norm
+       FROM transactions),
+sq AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY date, account_id, merchant_norm, amount_cents ORDER BY src_id) - 1 AS dup_seq FROM mn)
+SELECT src_id, merchant_norm, CAST(dup_seq AS BIGINT) AS dup_seq,
+       sha1(CAST(date AS VARCHAR) || '|' || account_id || '|' || merchant_norm || '|' || CAST(amount_cents AS VARCHAR) || '|' || CAST(dup_seq AS VARCHAR)) AS txn_id
+FROM sq""")
+def q_txn_id_v1(spark, sf_dir):
+    """Older loader: punctuation deleted (not spaced), 0-based dup_seq, sha1."""
+    t = Tables(spark, sf_dir).transactions
+    src = t.select(F.col("txn_id").alias("src_id"), "date", "account_id", "amount_cents",
+                   normalize_merchant_v1("description").alias("merchant_norm"))
+    out = identity.assign_txn_ids_v1(src, order_col="src_id")
+    return out.select("src_id", "merchant_norm", "dup_seq", "txn_id")
+
