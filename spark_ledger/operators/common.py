@@ -6,19 +6,24 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A dimension is hinted for broadcast only if it has at most this many rows.
-# Beyond that the join is left to Catalyst/AQE (sort-merge or shuffled hash,
-# with runtime broadcast only when the measured size allows it).
+# Explicit broadcast hints are only given behind a checked row bound.
 DIM_BROADCAST_MAX_ROWS = 2_000_000
 
 
-def maybe_broadcast(dim: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint behind a checked row bound.
+def maybe_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Join side for a dimension table.
 
-    The check counts at most ``max_rows + 1`` rows of the (small) dimension;
-    a dimension that grows with the data (e.g. accounts derived from
-    suppliers) falls back to a shuffled join instead of exhausting memory.
+    By default no hint is added: Spark's planner broadcasts the side only when
+    its size estimate is under ``spark.sql.autoBroadcastJoinThreshold`` (exact
+    for literal tables), and adaptive execution re-checks the measured size
+    at run time; anything larger stays a shuffled sort-merge join.  That keeps
+    the check lazy — no job runs while the plan is built.
+
+    With ``max_rows`` the caller asks for an explicit hint behind an eager
+    bound check (at most ``max_rows + 1`` rows are counted).
     """
+    if max_rows is None:
+        return dim
     n = dim.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim
 

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from spark_ledger.operators.common import maybe_broadcast
 
 # The model's year axis.
 YEAR_AXIS_START, YEAR_AXIS_END = 2024, 2100
@@ -60,22 +59,27 @@ def end_balance_by_year(years: DataFrame, cashflows: DataFrame, div_by_year: Dat
     r_y = (1+nominal)/(1+net dividend yield of year y) - 1.
 
     r_y changes with y, so this is not a running sum: the per-year
-    aggregates (bounded by the horizon) are range-joined to the axis."""
+    aggregates (bounded by the horizon) are range-joined to the axis.  The
+    output keeps that year's flows for the pivot."""
     f = flows_by_year(cashflows, div_by_year)
     x = f.select(F.col("year").alias("t"),
                  (F.coalesce(F.col("inflows"), F.lit(0.0)) + F.coalesce(F.col("outflows"), F.lit(0.0))
                   + F.coalesce(F.col("dividends"), F.lit(0.0))).alias("x"))
-    ydiv = f.select("year", divide(F.col("dividends"), F.col("portfolio_value")).alias("ydiv"))
     nom = nominal_return(globals_df)
-    ax = (years.join(ydiv, "year", "left")
-               .withColumn("r", (F.lit(1.0) + nom) / (F.lit(1.0) + F.coalesce(F.col("ydiv"), F.lit(0.0))) - F.lit(1.0))
+    ax = (years.join(f, "year", "left")
+               .withColumn("r", (F.lit(1.0) + nom)
+                           / (F.lit(1.0) + F.coalesce(divide(F.col("dividends"), F.col("portfolio_value")), F.lit(0.0)))
+                           - F.lit(1.0))
                .withColumn("base", base_year(globals_df, today_year))
                .withColumn("S", F.coalesce(start_balance, F.lit(0.0))))
-    j = ax.join(maybe_broadcast(x), F.col("t") <= F.col("year"), "left")
+    # x has one row per year of the flows (bounded by the assumption horizon,
+    # not by any fact table), so it is broadcast for the range join.
+    j = ax.join(F.broadcast(x), F.col("t") <= F.col("year"), "left")
     term = F.coalesce(F.col("x") * F.pow(F.lit(1.0) + F.col("r"), F.col("year") - F.col("t")), F.lit(0.0))
-    return j.groupBy("year", "r", "base", "S").agg(F.sum(term).alias("__flows")).select(
-        "year", "r", (F.col("S") * F.pow(F.lit(1.0) + F.col("r"), F.col("year") - F.col("base")) + F.col("__flows"))
-        .alias("end_balance"), "base", "S")
+    keep = ["year", "r", "base", "S", "inflows", "outflows", "dividends"]
+    return j.groupBy(*keep).agg(F.sum(term).alias("__flows")).select(
+        *keep, (F.col("S") * F.pow(F.lit(1.0) + F.col("r"), F.col("year") - F.col("base")) + F.col("__flows"))
+        .alias("end_balance"))
 
 
 def retirement_table(years: DataFrame, cashflows: DataFrame, div_by_year: DataFrame, start_balance: Column,
@@ -85,24 +89,22 @@ def retirement_table(years: DataFrame, cashflows: DataFrame, div_by_year: DataFr
     Beg Balance = Start Balance in the base year, else the previous year's
     End Balance (a lag over the year axis)."""
     e = end_balance_by_year(years, cashflows, div_by_year, start_balance, globals_df, today_year)
-    f = flows_by_year(cashflows, div_by_year)
     w = Window.orderBy("year")  # the axis holds at most a few dozen years
-    j = e.join(f, "year", "left")
     beg = F.when(F.col("year") == F.col("base"), F.col("S")).otherwise(F.lag("end_balance").over(w))
-    return j.select("year", beg.alias("beg_balance"), F.col("inflows"), F.col("dividends"),
+    return e.select("year", beg.alias("beg_balance"), F.col("inflows"), F.col("dividends"),
                     F.col("outflows"), F.col("end_balance"))
 
 
 def withdrawal_rates(table: DataFrame) -> DataFrame:
     """Avg Withdrawal Rate (Weighted) and Initial Withdrawal Rate over years
-    with outflows and a positive beginning balance (one row)."""
+    with outflows and a positive beginning balance (one row, one pass:
+    the first eligible year's pair comes from ``min_by``)."""
     o = F.abs(F.col("outflows"))
     elig = table.filter((o > 0) & (F.col("beg_balance") > 0))
-    first = elig.agg(F.min("year")).scalar()
+    first = F.min_by(F.struct(o.alias("o"), F.col("beg_balance").alias("b")), F.col("year"))
     return elig.agg(
         divide(F.sum(o), F.sum("beg_balance")).alias("avg_withdrawal_rate"),
-        divide(F.sum(F.when(F.col("year") == first, o)), F.sum(F.when(F.col("year") == first, F.col("beg_balance"))))
-        .alias("initial_withdrawal_rate"))
+        divide(first.getField("o"), first.getField("b")).alias("initial_withdrawal_rate"))
 
 
 def cumulative_net_flow(years: DataFrame, cashflows: DataFrame) -> DataFrame:

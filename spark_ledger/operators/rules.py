@@ -121,12 +121,12 @@ def categorize(txns: DataFrame, rules: DataFrame | None = None, overrides: DataF
     rule_hit = F.lit(None).cast("struct<category:string,subscription:boolean>")
     if rules is not None and all(c in rules.columns for c in ("match_type", "pattern", "category")):
         prepared = prepare_rules(rules)
-        n = prepared.limit(MAX_COMPILED_RULES + 1).count()
-        if method == "join" or (method == "auto" and n > MAX_COMPILED_RULES):
+        rows = prepared.limit(MAX_COMPILED_RULES + 1).collect() if method != "join" else []
+        if method == "join" or len(rows) > MAX_COMPILED_RULES:
             df = _rules_by_join(df, prepared)
             rule_hit = F.col("__rule_hit")
         else:
-            rows = sorted(_bounded_collect(prepared, MAX_COMPILED_RULES, "category_rules"), key=_rule_sort_key)
+            rows = sorted(rows, key=_rule_sort_key)
             pairs = []
             for r in rows:
                 cond = _rule_match(F.col("__desc_src"), r["match_type"], r["pattern"])

@@ -11,6 +11,7 @@ from spark_ledger.plans.queries_core import TWC_SQL, twc_frame
 from spark_ledger.plans.sql_snippets import CATEGORIZE_CTES, DEDUP_CTES, NON_TRANSFER_CTE, TWC_FIXTURES
 from spark_ledger.plans.queries_portfolio import PE_CTE, _money_sql, _ratio_sql
 from spark_ledger.plans.registry import register
+from spark_ledger.session import cut_lineage
 from spark_ledger.sources.fixtures import Tables, with_clause
 
 TODAY_YEAR = 2025      # "today" is an argument so results repeat
@@ -155,11 +156,11 @@ RET_SQL = _ret_with()
 
 
 def _pe(t):
-    return allocation.positions_enriched(t.positions, t.security_dim, t.account_dim)
+    return t.memo("pe", lambda: allocation.positions_enriched(t.positions, t.security_dim, t.account_dim))
 
 
 def _expand(t):
-    return projection.expand_assumptions(t.retirement_assumptions, TODAY_YEAR)
+    return t.memo("expand", lambda: projection.expand_assumptions(t.retirement_assumptions, TODAY_YEAR))
 
 
 def _rv(df, cols):
@@ -285,8 +286,8 @@ def q_dividend_flows_by_year(spark, sf_dir):
 
 
 def _dfy(t):
-    return projection.dividend_flows_by_year(_pe(t), t.security_dim, t.account_dim, t.retirement_assumptions,
-                                             _expand(t)[1], TODAY_YEAR)
+    return t.memo("dfy", lambda: projection.dividend_flows_by_year(_pe(t), t.security_dim, t.account_dim, t.retirement_assumptions,
+                                             _expand(t)[1], TODAY_YEAR))
 
 
 # ------------------------------------------------------------ K / L-10/11 -
@@ -323,11 +324,14 @@ rt AS (
 
 
 def _retirement_inputs(spark, t):
+    """The tables the retirement measures read, each cut from its lineage
+    (they are exported tables in the model: flows, dividends by year,
+    starting balances, globals — all small, bounded by accounts x years)."""
     g, inflows, outflows = _expand(t)
-    cf = projection.cashflows(inflows, outflows)
-    dfy = _dfy(t)
-    sb = projection.starting_balances(_pe(t), t.account_dim).agg(F.sum("balance_today")).scalar()
-    return measures.year_axis(spark), cf, dfy, sb, g
+    cf = cut_lineage(projection.cashflows(inflows, outflows))
+    dfy = cut_lineage(_dfy(t))
+    sbt = cut_lineage(projection.starting_balances(_pe(t), t.account_dim).agg(F.sum("balance_today").alias("s")))
+    return measures.year_axis(spark), cf, dfy, sbt.select("s").scalar(), cut_lineage(g)
 
 
 @register("end_balance_by_year", RET_SQL + MEASURE_CTES + f"""

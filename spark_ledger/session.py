@@ -68,3 +68,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(base, "tables", name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into ``spark.checkpoint.dir`` (eager).
+
+    Used at table boundaries (e.g. the per-account-year projection that the
+    measures read) so downstream plans stay small and a lost executor does
+    not replay the upstream pipeline.  Never a local checkpoint."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

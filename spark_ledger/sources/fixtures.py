@@ -124,6 +124,13 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
         self._cache: dict[str, DataFrame] = {}
 
+    def memo(self, key: str, build):
+        """Build a derived frame once per accessor (plans reference it again
+        instead of re-analyzing a copy)."""
+        if key not in self._cache:
+            self._cache[key] = build()
+        return self._cache[key]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in FIXTURE_SQL and name not in BASE_TABLES:
             raise AttributeError(name)
