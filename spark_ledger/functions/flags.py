@@ -22,7 +22,7 @@ def parse_bool(c, truthy=TRUTHY) -> Column:
 def flexible_date(c) -> Column:
     """ISO date, else ``M/d/yyyy``; else null."""
     s = F.trim(_c(c).cast("string"))
-    return F.coalesce(s.try_cast("date"), F.try_to_date(s, F.lit("M/d/yyyy")))
+    return F.coalesce(s.try_cast("date"), F.try_to_date(s, "M/d/yyyy"))
 
 
 def date_from_filename(path) -> Column:
@@ -33,7 +33,7 @@ def date_from_filename(path) -> Column:
         got = F.regexp_extract(name, pat, 0)
         return F.when(got != "", F.try_to_date(
             F.concat_ws("-", F.regexp_extract(name, pat, y), F.regexp_extract(name, pat, m),
-                        F.regexp_extract(name, pat, d)), F.lit("yyyy-MM-dd")))
+                        F.regexp_extract(name, pat, d)), "yyyy-MM-dd"))
 
     return F.coalesce(
         ymd(r"(\d{4})-(\d{2})-(\d{2})", 1, 2, 3),

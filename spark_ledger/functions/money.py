@@ -41,3 +41,8 @@ def round_to(c, scale: int = 2) -> Column:
     rounding of a double."""
     f = float(10 ** scale)
     return F.round(_c(c) * f) / f
+
+
+def bround_money(c, scale: int = 2) -> Column:
+    """Half-even rounding to cents (the ingest convention, T-7)."""
+    return F.bround(_c(c), scale)

@@ -16,16 +16,21 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# After punctuation is turned into spaces a token is ``[a-z0-9]+``, so only
+# the dot-free stopwords can ever match; they are removed as whole tokens.
+_STOP_RE = "(?<=^| )(?:" + "|".join(w for w in MERCHANT_STOPWORDS if w.isalnum()) + ")(?= |$)"
+
+
 def normalize_merchant(c) -> Column:
     """lower -> non-alphanumeric runs to one space -> drop stopwords -> join.
 
     Null input gives the empty string (the reference treats non-text as '').
-    """
+    Pure regex replacement (whole-stage codegen; no higher-order functions):
+    stopword tokens are deleted between zero-width token boundaries, then the
+    spaces are collapsed."""
     s = F.trim(F.regexp_replace(F.lower(F.coalesce(_c(c), F.lit(""))), "[^a-z0-9]+", " "))
-    toks = F.split(s, " ")
-    stop = F.array(*[F.lit(w) for w in MERCHANT_STOPWORDS])
-    kept = F.filter(toks, lambda t: (t != F.lit("")) & ~F.array_contains(stop, t))
-    return F.array_join(kept, " ")
+    s = F.regexp_replace(s, _STOP_RE, "")
+    return F.trim(F.regexp_replace(s, " {2,}", " "))
 
 
 def normalize_merchant_v1(c) -> Column:

@@ -228,3 +228,89 @@ def q_txn_id_v1(spark, sf_dir):
     out = identity.assign_txn_ids_v1(src, order_col="src_id")
     return out.select("src_id", "merchant_norm", "dup_seq", "txn_id")
 
+
+
+# ------------------------------------------------------------ B-1 / A-3 / A-11 / A-12 / A-14
+@register("normalize_bank_exports", with_clause("transactions") + """,
+x AS (SELECT *, CAST(substr(account_id, 2) AS INT) AS s FROM transactions)
+SELECT date,
+       CASE WHEN s % 2 = 0 THEN 'CHECKING' || CAST(s % 4 AS VARCHAR) ELSE 'CARD_GOLD' || CAST(s % 3 AS VARCHAR) END AS account_id,
+       CAST(amount_cents AS DOUBLE) / 100 AS amount, description,
+       CASE WHEN s % 2 = 1 THEN CASE WHEN amount_cents < 0 THEN 'Shopping' ELSE 'Payment' END END AS category,
+       txn_id AS memo,
+       CASE WHEN s % 2 = 0 THEN 'chase' ELSE 'amex' END AS vendor,
+       CASE WHEN s % 2 = 0 THEN 'checking' || CAST(s % 4 AS VARCHAR) ELSE 'card/gold' || CAST(s % 3 AS VARCHAR) END AS route
+FROM x""")
+def q_normalize_bank_exports(spark, sf_dir):
+    """Bank and card exports (two header layouts, Debit/Credit vs one signed
+    amount in parentheses, nested routes) written from the transactions
+    fixture, then normalized back: date, account from the route, amount,
+    description, category, memo."""
+    from spark_ledger.plans.raw_exports import write_bank_exports
+    from spark_ledger.sources import vendors
+    t = Tables(spark, sf_dir)
+    root = write_bank_exports(t)
+    n = vendors.normalize_transactions(spark, root)
+    return n.select("date", "account_id", "amount", "description", "category", "memo", "vendor", "route")
+
+
+@register("normalize_position_exports", with_clause("positions") + """,
+x AS (SELECT *, CAST(substr(account_id, 2) AS INT) AS s FROM positions),
+y AS (
+  SELECT MIN(as_of_date) OVER (PARTITION BY account_id) AS as_of_date,
+         CASE s % 3 WHEN 0 THEN 'BRK' WHEN 1 THEN 'PLAN' ELSE 'IRA' END || CAST(s AS VARCHAR) AS account_id,
+         CASE s % 3 WHEN 0 THEN 'chase' WHEN 1 THEN 'alight' ELSE 'fidelity' END AS vendor,
+         CASE s % 3 WHEN 0 THEN 'brk' WHEN 1 THEN 'plan' ELSE 'ira' END || CAST(s AS VARCHAR) AS route,
+         CASE WHEN s % 3 = 1 THEN 'FUND_' || upper(symbol)
+              WHEN s % 3 = 2 AND symbol LIKE '%7' THEN 'FUND_' || upper(symbol) ELSE symbol END AS symbol,
+         CASE WHEN s % 3 = 1 AND length(symbol) = 2 THEN market_value ELSE shares END AS shares,
+         market_value
+  FROM x),
+z AS (SELECT as_of_date, account_id, vendor, route, symbol, SUM(shares) AS shares, SUM(market_value) AS mv
+      FROM y GROUP BY ALL),
+r AS (SELECT as_of_date, account_id, vendor, route, symbol, ROUND(shares * 1000000) / 1000000 AS sh,
+            ROUND(mv * 100) / 100 AS mv FROM z)
+SELECT as_of_date, account_id, vendor, route, symbol, sh AS shares,
+       ROUND(CASE WHEN sh > 0 THEN mv / sh END * 1000000) / 1000000 AS price, mv AS market_value
+FROM r""")
+def q_normalize_position_exports(spark, sf_dir):
+    """Three brokerage layouts (exact headers with a FOOTNOTES sentinel and
+    junk after it; token-matched headers with unitless balances; blank
+    symbols falling back to the description slug), one export file per
+    account written from the positions fixture, then normalized, dispatched
+    by vendor and collapsed per symbol under the file's as-of date."""
+    from spark_ledger.plans.raw_exports import write_position_exports
+    from spark_ledger.sources import vendors
+    t = Tables(spark, sf_dir)
+    root = write_position_exports(t)
+    n = vendors.normalize_positions(spark, root, glob="*.csv")
+    mv = F.round(F.col("market_value") * 100) / 100
+    sh = F.round(F.col("shares") * 1000000) / 1000000
+    # the reported price is value / shares of the reported (rounded) figures
+    return n.select("as_of_date", "account_id", "vendor", "route", "symbol", sh.alias("shares"),
+                    (F.round(F.when(sh > 0, mv / sh) * 1000000) / 1000000).alias("price"), mv.alias("market_value"))
+
+
+# ------------------------------------------------------------ 2.M streaming
+@register("incremental_load", with_clause("transactions") + """,
+x AS (SELECT *, CAST(substr(account_id, 2) AS INT) AS s FROM transactions),
+f AS (SELECT date, amount_cents, description,
+             CASE WHEN s % 2 = 0 THEN 'CHECKING' || CAST(s % 4 AS VARCHAR) ELSE 'CARD_GOLD' || CAST(s % 3 AS VARCHAR) END AS account_id,
+             COALESCE(contains(UPPER(description), 'ORIG CO'), FALSE) AS oc FROM x),
+g AS (SELECT *, MAX(CAST(oc AS INT)) OVER (PARTITION BY account_id, date, amount_cents) AS any_p,
+             MIN(CAST(oc AS INT)) OVER (PARTITION BY account_id, date, amount_cents) AS all_p FROM f)
+SELECT date, account_id, CAST(amount_cents AS DOUBLE) / 100 AS amount, amount_cents, description
+FROM g WHERE NOT (oc AND any_p = 1 AND all_p = 0)""")
+def q_incremental_load(spark, sf_dir):
+    """Raw bank exports loaded by a file-source stream (availableNow) whose
+    micro-batches upsert into a month-partitioned transactions table."""
+    import os
+    import uuid
+    from spark_ledger.plans.raw_exports import export_root, write_bank_exports
+    from spark_ledger.streaming.incremental import run_incremental
+    t = Tables(spark, sf_dir)
+    raw = write_bank_exports(t)
+    run_dir = os.path.join(export_root(t, "incremental"), uuid.uuid4().hex)
+    table = os.path.join(run_dir, "transactions")
+    run_incremental(spark, raw, table, os.path.join(run_dir, "_checkpoint"))
+    return spark.read.parquet(table).select("date", "account_id", "amount", "amount_cents", "description")
