@@ -323,15 +323,19 @@ rt AS (
   FROM eb LEFT JOIN fy ON fy.year = eb.year)"""
 
 
-def _retirement_inputs(spark, t):
+def _retirement_inputs(spark, t, need=("cf", "dfy", "sb", "g")):
     """The tables the retirement measures read, each cut from its lineage
     (they are exported tables in the model: flows, dividends by year,
-    starting balances, globals — all small, bounded by accounts x years)."""
+    starting balances, globals — all small, bounded by accounts x years).
+    Only the ``need``-ed ones are computed."""
     g, inflows, outflows = _expand(t)
-    cf = cut_lineage(projection.cashflows(inflows, outflows))
-    dfy = cut_lineage(_dfy(t))
-    sbt = cut_lineage(projection.starting_balances(_pe(t), t.account_dim).agg(F.sum("balance_today").alias("s")))
-    return measures.year_axis(spark), cf, dfy, sbt.select("s").scalar(), cut_lineage(g)
+    cf = cut_lineage(projection.cashflows(inflows, outflows)) if "cf" in need else None
+    dfy = cut_lineage(_dfy(t)) if "dfy" in need else None
+    sb = None
+    if "sb" in need:
+        sbt = cut_lineage(projection.starting_balances(_pe(t), t.account_dim).agg(F.sum("balance_today").alias("s")))
+        sb = sbt.select("s").scalar()
+    return measures.year_axis(spark), cf, dfy, sb, (cut_lineage(g) if "g" in need else None)
 
 
 @register("end_balance_by_year", RET_SQL + MEASURE_CTES + f"""
@@ -374,7 +378,7 @@ SELECT year, {_money_sql('net_flow')} AS net_flow,
        {_money_sql('SUM(net_flow) OVER (ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)')} AS cumulative_net_flow
 FROM nf""")
 def q_cumulative_net_flow(spark, sf_dir):
-    years, cf, _, _, _ = _retirement_inputs(spark, Tables(spark, sf_dir))
+    years, cf, _, _, _ = _retirement_inputs(spark, Tables(spark, sf_dir), need=("cf",))
     c = measures.cumulative_net_flow(years, cf)
     return c.select("year", round_to("net_flow", M).alias("net_flow"),
                     round_to("cumulative_net_flow", M).alias("cumulative_net_flow"))
@@ -388,7 +392,7 @@ nw AS (
   GROUP BY y.year, gv.real_r, gv.infl, gv.base)
 SELECT year, {_money_sql('v')} AS net_worth_with_growth FROM nw""")
 def q_net_worth_with_growth(spark, sf_dir):
-    years, cf, _, sb, g = _retirement_inputs(spark, Tables(spark, sf_dir))
+    years, cf, _, sb, g = _retirement_inputs(spark, Tables(spark, sf_dir), need=("cf", "sb", "g"))
     n = measures.net_worth_with_growth(years, cf, sb, g, TODAY_YEAR)
     return n.select("year", round_to("net_worth_with_growth", M).alias("net_worth_with_growth"))
 
