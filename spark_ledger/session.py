@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # Windows exports are cp1252; allow the full Java charset list for readers
+    "spark.sql.legacy.javaCharsets": "true",
 }
 
 
