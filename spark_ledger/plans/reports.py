@@ -6,7 +6,7 @@ Each report is a function of DataFrames plus explicit filter parameters
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from spark_ledger.operators.common import maybe_broadcast
 from spark_ledger.operators.rollups import non_transfer
@@ -35,7 +35,9 @@ def portfolio_rollup(pe: DataFrame, month: str | None = None, exclude_region: st
     sel = sel.filter(F.col("region") != exclude_region)
     r = sel.rollup("region", "size", "style", "symbol").agg(
         F.grouping_id().alias("level"), F.sum("value").alias("value"))
-    total = sel.agg(F.sum("value")).scalar()
+    # the selected total is the rollup's grand-total row (level 15); the
+    # window runs over the rollup output, which is small (one row per group)
+    total = F.max(F.when(F.col("level") == 15, F.col("value"))).over(Window.partitionBy())
     return r.withColumn("pct", F.col("value") / F.when(total != 0, total))
 
 
