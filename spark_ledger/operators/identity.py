@@ -91,13 +91,17 @@ def drop_pending_with_settled(txns: DataFrame) -> DataFrame:
 
 def drop_pending_in_file(txns: DataFrame, file_col: str = "source_file") -> DataFrame:
     """C-6: inside one file, drop pending rows of a (account, date, cents) group
-    that also holds a non-pending row.  Groups are bounded by the file."""
+    that also holds a non-pending row.
+
+    The group flags are a partial (map-side) aggregate joined back on the
+    group key, so even a group holding a large share of the rows is reduced
+    to one row per map task before the shuffle (AQE splits a hot join key)."""
     keys = [c for c in (file_col,) if c in txns.columns] + ["account_id", "date", "amount_cents"]
-    flag = is_orig_co()
-    w = Window.partitionBy(*keys)
-    t = (txns.withColumn("__p", flag.cast("int"))
-             .withColumn("__any", F.max("__p").over(w)).withColumn("__all", F.min("__p").over(w)))
-    return t.filter(~((F.col("__p") == 1) & (F.col("__any") == 1) & (F.col("__all") == 0))).drop("__p", "__any", "__all")
+    t = txns.withColumn("__p", is_orig_co().cast("int"))
+    flags = t.groupBy(*keys).agg(F.max("__p").alias("__any"), F.min("__p").alias("__all"))
+    mixed = flags.filter((F.col("__any") == 1) & (F.col("__all") == 0)).select(*keys)
+    pending = t.filter(F.col("__p") == 1).join(mixed, keys, "left_anti")
+    return t.filter(F.col("__p") == 0).unionByName(pending).drop("__p")
 
 
 def assign_txn_ids(df: DataFrame, order_col: str = "row_idx", file_col: str = "source_file") -> DataFrame:
