@@ -104,24 +104,56 @@ def drop_pending_in_file(txns: DataFrame, file_col: str = "source_file") -> Data
     return t.filter(F.col("__p") == 0).unionByName(pending).drop("__p")
 
 
+SEQ_CHUNK_ROWS = 1_000_000   # rows numbered by one window partition at most
+
+
+def sequence_within(df: DataFrame, keys: list[str], order_col: str, name: str, base: int = 1) -> DataFrame:
+    """Row number (starting at ``base``) within each ``keys`` group in
+    ``order_col`` order, without pulling a whole group into one task when
+    the order column is numeric (a row index):
+
+    1. rows are bucketed into chunks of ``SEQ_CHUNK_ROWS`` consecutive
+       order values; counts per (group, chunk) are a partial aggregate;
+    2. a running sum over those few counts gives each chunk's offset;
+    3. rows are numbered inside their chunk and shifted by the offset.
+
+    Exact, and no window partition holds more than one chunk.  Non-numeric
+    order columns fall back to a single window per group."""
+    numeric = dict(df.dtypes).get(order_col) in ("int", "bigint", "smallint", "tinyint")
+    if not numeric:
+        w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc_nulls_last())
+        return df.withColumn(name, (F.row_number().over(w) + (base - 1)).cast("long"))
+    chunk = F.floor(F.col(order_col) / SEQ_CHUNK_ROWS)
+    d = df.withColumn("__chunk", chunk)
+    counts = d.groupBy(*keys, "__chunk").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*keys).orderBy(F.col("__chunk").asc_nulls_last()) \
+                   .rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    inner = Window.partitionBy(*keys, "__chunk").orderBy(F.col(order_col).asc_nulls_last())
+    # null-safe equality: null keys form a group, as in a window
+    o = offsets.select(*[F.col(k).alias(f"__o_{k}") for k in keys], F.col("__chunk").alias("__o_chunk"), "__off")
+    cond = F.col("__chunk").eqNullSafe(F.col("__o_chunk"))
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__o_{k}"))
+    d = d.join(o, cond, "left").drop(*[f"__o_{k}" for k in keys], "__o_chunk")
+    return (d.withColumn(name, (F.col("__off") + F.row_number().over(inner) + (base - 1)).cast("long"))
+             .drop("__chunk", "__off"))
+
+
 def assign_txn_ids(df: DataFrame, order_col: str = "row_idx", file_col: str = "source_file") -> DataFrame:
     """C-1 + C-2: 1-based dup_seq within (file, date, account, cents, merchant)
-    in row order, then txn_id = sha256 of the five fields.
-
-    The window is bounded by one file (the reference numbers per file)."""
+    in row order, then txn_id = sha256 of the five fields."""
     if "merchant_norm" not in df.columns:
         df = df.withColumn("merchant_norm", normalize_merchant("description"))
     keys = [c for c in (file_col,) if c in df.columns] + ["date", "account_id", "amount_cents", "merchant_norm"]
-    w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc_nulls_last())
-    df = df.withColumn("dup_seq", F.row_number().over(w).cast("long"))
+    df = sequence_within(df, keys, order_col, "dup_seq", base=1)
     return df.withColumn("txn_id", txn_id_sha256("date", "account_id", "amount_cents", "merchant_norm", "dup_seq"))
 
 
 def assign_txn_ids_v1(df: DataFrame, order_col: str = "row_idx") -> DataFrame:
     """C-3: 0-based dup_seq and sha1 id over (date, account, merchant, cents)."""
     keys = ["date", "account_id", "merchant_norm", "amount_cents"]
-    w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc_nulls_last())
-    df = df.withColumn("dup_seq", (F.row_number().over(w) - 1).cast("long"))
+    df = sequence_within(df, keys, order_col, "dup_seq", base=0)
     return df.withColumn("txn_id", txn_id_sha1("date", "account_id", "merchant_norm", "amount_cents", "dup_seq"))
 
 
