@@ -48,14 +48,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialized intermediate tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system).  Only when it is unset (unit tests, laptops) is a private
-    folder created and registered.
+    file system); a cluster without it is an error, because a folder of one
+    machine would be lost to the others.  Only a local master (unit tests,
+    laptops) gets a private folder when the setting is absent.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="spark_ledger_ckpt_")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
