@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +17,21 @@ from spark_ledger.session import checkpoint_dir, cut_lineage  # noqa: F401
 SPACE = "\\x20\\x09-\\x0D"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers that were started
+    elsewhere: once per application, through Spark's own file service.  A
+    PYTHONPATH that names the package's folder makes this needless."""
+    root, app = Path(__file__).resolve().parents[2], spark.sparkContext.applicationId
+    if app in _SHIPPED or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    name = Path(__file__).resolve().parents[1].name
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(), name), "zip", root, name))
+    _SHIPPED.add(app)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spark_ledger.llm.common import documents, shared_path
+from spark_ledger.llm import licenses
+from spark_ledger.llm.common import documents, read_table, shared_path, ship_package
 
 TOKENIZER_DIR = None      # where the vocabulary files lie; None asks the installed package
 
@@ -17,11 +20,33 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spark_ledger.llm.licenses import license_scan
+    return license_scan(documents(spark, sf_dir))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spark_ledger.llm.quality import quality
+    trusted = read_table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality(documents(spark, sf_dir), trusted)
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spark_ledger.llm.secrets_scan import digests, scan
+    return digests(scan(documents(spark, sf_dir)))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spark_ledger.llm.sentencepiece_op import digests, encode_decode
     return digests(encode_decode(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model")))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spark_ledger.llm.substring_dedup import substring_dedup
+    return substring_dedup(documents(spark, sf_dir), 50).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spark_ledger.llm.packing import pack_documents
     return pack_documents(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), 2048, 0)
@@ -34,9 +59,14 @@ def op10_dac_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
 
 
-QUERIES = {
-    "op5_sentencepiece": op5_sentencepiece,
-    "op8_best_fit_packing": op8_best_fit_packing,
-    "op10_dac_tokens": op10_dac_tokens,
-}
-ORACLES: dict[str, str] = {}
+def _query(run):
+    @functools.wraps(run)
+    def call(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return run(spark, sf_dir)
+    return call
+
+
+QUERIES = {f.__name__: _query(f) for f in (
+    op2_license_scan, op3_quality_rules, op4_secret_scan, op5_sentencepiece, op7_substring_dedup, op8_best_fit_packing, op10_dac_tokens)}
+ORACLES: dict[str, str] = {"op2_license_scan": licenses.oracle_sql()}
