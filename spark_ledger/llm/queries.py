@@ -52,6 +52,14 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), 2048, 0)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spark_ledger.llm.toxicity import fit, score
+    docs = documents(spark, sf_dir)
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = fit(docs, read_table(spark, sf_dir, "labels").where(~fold).select("doc_id", "toxic"))
+    return score(docs, model).select("doc_id", fold.alias("held_out"), "score", "predicted")
+
+
 def op10_dac_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spark_ledger.llm.dac import read_tokens, write_tokens
     path = shared_path(spark, "dac")
@@ -68,5 +76,5 @@ def _query(run):
 
 
 QUERIES = {f.__name__: _query(f) for f in (
-    op2_license_scan, op3_quality_rules, op4_secret_scan, op5_sentencepiece, op7_substring_dedup, op8_best_fit_packing, op10_dac_tokens)}
+    op2_license_scan, op3_quality_rules, op4_secret_scan, op5_sentencepiece, op7_substring_dedup, op8_best_fit_packing, op9_toxicity, op10_dac_tokens)}
 ORACLES: dict[str, str] = {"op2_license_scan": licenses.oracle_sql()}
