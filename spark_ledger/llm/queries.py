@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spark_ledger.llm import licenses
+from spark_ledger.llm import licenses, ngram_join
 from spark_ledger.llm.common import documents, read_table, shared_path, ship_package
 
 TOKENIZER_DIR = None      # where the vocabulary files lie; None asks the installed package
@@ -41,6 +41,11 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode_decode(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model")))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spark_ledger.llm.ngram_join import near_duplicates
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spark_ledger.llm.substring_dedup import substring_dedup
     return substring_dedup(documents(spark, sf_dir), 50).select(
@@ -76,5 +81,9 @@ def _query(run):
 
 
 QUERIES = {f.__name__: _query(f) for f in (
-    op2_license_scan, op3_quality_rules, op4_secret_scan, op5_sentencepiece, op7_substring_dedup, op8_best_fit_packing, op9_toxicity, op10_dac_tokens)}
-ORACLES: dict[str, str] = {"op2_license_scan": licenses.oracle_sql()}
+    op2_license_scan, op3_quality_rules, op4_secret_scan, op5_sentencepiece, op6_ngram_jaccard_join,
+    op7_substring_dedup, op8_best_fit_packing, op9_toxicity, op10_dac_tokens)}
+ORACLES: dict[str, str] = {
+    "op2_license_scan": licenses.oracle_sql(),
+    "op6_ngram_jaccard_join": ngram_join.oracle_sql(),
+}
