@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spark_ledger.llm import licenses, ngram_join
+from spark_ledger.llm import embedding_dedup, licenses, ngram_join
 from spark_ledger.llm.common import documents, read_table, shared_path, ship_package
 
 TOKENIZER_DIR = None      # where the vocabulary files lie; None asks the installed package
@@ -20,6 +20,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_e8_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spark_ledger.llm.embedding_dedup import near_vectors
+    return near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spark_ledger.llm.licenses import license_scan
     return license_scan(documents(spark, sf_dir))
@@ -81,9 +86,10 @@ def _query(run):
 
 
 QUERIES = {f.__name__: _query(f) for f in (
-    op2_license_scan, op3_quality_rules, op4_secret_scan, op5_sentencepiece, op6_ngram_jaccard_join,
+    op1_e8_lattice_dedup, op2_license_scan, op3_quality_rules, op4_secret_scan, op5_sentencepiece, op6_ngram_jaccard_join,
     op7_substring_dedup, op8_best_fit_packing, op9_toxicity, op10_dac_tokens)}
 ORACLES: dict[str, str] = {
+    "op1_e8_lattice_dedup": embedding_dedup.oracle_sql(),
     "op2_license_scan": licenses.oracle_sql(),
     "op6_ngram_jaccard_join": ngram_join.oracle_sql(),
 }
