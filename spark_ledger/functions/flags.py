@@ -19,10 +19,25 @@ def parse_bool(c, truthy=TRUTHY) -> Column:
     return F.coalesce(s.isin(*truthy), F.lit(False))
 
 
+#: accepted date forms besides ISO ("/" and blanks count as "-", a time of day
+#: is ignored): shape of the text -> the same as year-month-day
+DATE_FORMS = {
+    r"^(\d{1,2})-(\d{1,2})-(\d{4})$": "$3-$1-$2",
+    r"^(\d{1,2})-(\d{1,2})-(\d{2})$": "20$3-$1-$2",
+    r"^(\d{4})(\d{2})(\d{2})$": "$1-$2-$3",
+    r"^([A-Za-z]{3})[A-Za-z]{0,6}-(\d{1,2}),-(\d{4})$": "$3-$1-$2",
+    r"^(\d{1,2})-([A-Za-z]{3})-(\d{4})$": "$3-$2-$1",
+}
+
+
 def flexible_date(c) -> Column:
-    """ISO date, else ``M/d/yyyy``; else null."""
-    s = F.trim(_c(c).cast("string"))
-    return F.coalesce(s.try_cast("date"), F.try_to_date(s, "M/d/yyyy"))
+    """A full date in ISO form or one of ``DATE_FORMS``; anything else (a bare
+    year, an impossible day) is null."""
+    s = F.translate(F.regexp_replace(F.trim(_c(c).cast("string")), r"[ T]\d{1,2}:\d{2}.*$", ""), "/ ", "--")
+    for shape, form in DATE_FORMS.items():
+        s = F.regexp_replace(s, shape, form)
+    s = F.when(s.rlike(r"^\d{4}-\w{1,3}-\d{1,2}$"), s)
+    return F.coalesce(s.try_cast("date"), F.try_to_date(F.initcap(s), "yyyy-MMM-d"))
 
 
 def date_from_filename(path) -> Column:

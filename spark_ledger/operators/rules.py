@@ -1,11 +1,12 @@
 """Category assignment: ingest-time first-match rules (J-1), the full
 override > rule > base categorization (J-2) and the override diagnostic (J-19).
 
-Rules and overrides are user configuration (a few hundred rows).  They are
-read on the driver behind a row-count check and compiled into one
-``CASE WHEN`` chain, so matching is a map-only projection inside whole-stage
-codegen: no join, no shuffle.  Above the compile limit the same semantics
-run as a broadcast nested-loop join followed by a per-row keep-first.
+Rules and overrides are user configuration.  ``method="compiled"`` reads them
+on the driver and compiles them into one ``CASE WHEN`` chain, so matching is a
+map-only projection without join or shuffle.  ``method="join"`` keeps them
+distributed: the distinct descriptions are matched against the rule table and
+the hits joined back by description.  Both take any number of rules and give
+the same rows; the caller chooses, nothing depends on the table's size.
 """
 
 from __future__ import annotations
@@ -13,29 +14,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spark_ledger.functions import normalize_merchant, parse_bool
-from spark_ledger.operators.common import keep_first
+from spark_ledger.functions.flags import flexible_date
+from spark_ledger.functions.money import parse_money
 from spark_ledger.operators.identity import DESC_CANDIDATES
 
-MAX_COMPILED_RULES = 2000          # rules compiled into one expression
-MAX_BROADCAST_RULES = 200_000      # beyond this a rule table is not a config table
 HELPER_COLS = ("desc_norm", "amount_key", "account_key", "date_key", "dupe_key", "rn")
 
 
-def _bounded_collect(df: DataFrame, limit: int, what: str):
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{what}: more than {limit} rows; not a configuration table")
-    return rows
-
-
 # ---------------------------------------------------------------- J-2 -----
 
 def prepare_rules(rules: DataFrame) -> DataFrame:
     """Normalized rule table: match_type, pattern (trim+lower), category,
-    prio (null -> 9999), subscription (bool); blank categories removed."""
+    prio (a number; missing or not a number -> 9999), subscription (bool); blank categories removed."""
     cols = rules.columns
-    prio = F.coalesce(F.col("priority").cast("string").try_cast("int"), F.lit(9999)) \
-        if "priority" in cols else F.lit(9999)
+    prio = F.coalesce(F.col("priority").cast("string").try_cast("double"), F.lit(9999.0)) \
+        if "priority" in cols else F.lit(9999.0)
     sub = parse_bool("subscription") if "subscription" in cols else F.lit(False)
     return (rules
             .filter(F.col("category").isNotNull() & (F.trim(F.col("category")) != ""))
@@ -70,14 +63,17 @@ def _first_hit(pairs) -> Column:
 
 
 def prepare_overrides(overrides: DataFrame) -> DataFrame:
-    sub = parse_bool("subscription") if "subscription" in overrides.columns else F.lit(False)
+    """Typed override table: text flags, ISO or m/d/Y dates, amounts with ``$``,
+    commas or parentheses."""
+    def of(name, make):
+        return make(name) if name in overrides.columns else F.lit(None)
     return overrides.select(
-        F.col("active").cast("boolean").alias("active"),
-        F.col("date").cast("date").alias("date") if "date" in overrides.columns else F.lit(None).cast("date").alias("date"),
+        parse_bool("active").alias("active"),
+        of("date", flexible_date).cast("date").alias("date"),
         F.col("description_regex"),
-        F.col("amount").cast("double").alias("amount"),
+        of("amount", parse_money).cast("double").alias("amount"),
         F.col("category"),
-        sub.alias("subscription"))
+        (parse_bool("subscription") if "subscription" in overrides.columns else F.lit(False)).alias("subscription"))
 
 
 def _override_match(df: DataFrame, desc: Column, o) -> Column | None:
@@ -101,7 +97,7 @@ def _round_half_away(x: float) -> float:
 
 
 def categorize(txns: DataFrame, rules: DataFrame | None = None, overrides: DataFrame | None = None,
-               method: str = "auto") -> DataFrame:
+               method: str = "compiled") -> DataFrame:
     """J-2: ``transactions_with_category``.
 
     category = best active override (by category name) > best rule
@@ -117,38 +113,28 @@ def categorize(txns: DataFrame, rules: DataFrame | None = None, overrides: DataF
     base_cat = F.col("category") if "category" in src_cols else F.lit("Uncategorized")
 
     df = txns.select(*src_cols).withColumn("__desc_src", desc_src)
-
-    rule_hit = F.lit(None).cast("struct<category:string,subscription:boolean>")
-    if rules is not None and all(c in rules.columns for c in ("match_type", "pattern", "category")):
-        prepared = prepare_rules(rules)
-        rows = prepared.limit(MAX_COMPILED_RULES + 1).collect() if method != "join" else []
-        if method == "join" or len(rows) > MAX_COMPILED_RULES:
-            df = _rules_by_join(df, prepared)
-            rule_hit = F.col("__rule_hit")
-        else:
-            rows = sorted(rows, key=_rule_sort_key)
-            pairs = []
-            for r in rows:
-                cond = _rule_match(F.col("__desc_src"), r["match_type"], r["pattern"])
-                if cond is not None:
-                    pairs.append((cond, F.struct(F.lit(r["category"]).alias("category"),
-                                                 F.lit(bool(r["subscription"])).alias("subscription"))))
-            if pairs:
-                rule_hit = _first_hit(pairs)
-
-    ov_hit = F.lit(None).cast("struct<category:string,subscription:boolean>")
-    if overrides is not None and all(c in overrides.columns for c in ("active", "description_regex", "amount", "category")):
-        ovs = [o for o in _bounded_collect(prepare_overrides(overrides), MAX_COMPILED_RULES, "category_overrides")
-               if o["active"] is True]
-        ovs.sort(key=lambda o: (o["category"] is None, o["category"] or ""))
-        pairs = []
-        for o in ovs:
-            cond = _override_match(df, F.col("__desc_src"), o)
-            if cond is not None:
-                pairs.append((cond, F.struct(F.lit(o["category"]).cast("string").alias("category"),
-                                             F.lit(bool(o["subscription"])).alias("subscription"))))
-        if pairs:
-            ov_hit = _first_hit(pairs)
+    none = F.lit(None).cast("struct<category:string,subscription:boolean>")
+    rule_hit, ov_hit = none, none
+    prepared = prepare_rules(rules) if rules is not None and all(
+        c in rules.columns for c in ("match_type", "pattern", "category")) else None
+    active = prepare_overrides(overrides).where("active") if overrides is not None and all(
+        c in overrides.columns for c in ("active", "description_regex", "amount", "category")) else None
+    if method == "join":
+        if prepared is not None:
+            df, rule_hit = _rules_by_join(df, prepared), F.col("__rule_hit")
+        if active is not None:
+            df, ov_hit = _overrides_by_join(df, active), F.col("__ov_hit")
+    elif method == "compiled":
+        if prepared is not None:
+            pairs = [(_rule_match(F.col("__desc_src"), r["match_type"], r["pattern"]), _hit(r))
+                     for r in sorted(prepared.collect(), key=_rule_sort_key)]
+            rule_hit = F.coalesce(_first_hit([x for x in pairs if x[0] is not None]), none)
+        if active is not None:
+            ovs = sorted(active.collect(), key=lambda o: (o["category"] is None, o["category"] or "", o["subscription"]))
+            pairs = [(_override_match(df, F.col("__desc_src"), o), _hit(o)) for o in ovs]
+            ov_hit = F.coalesce(_first_hit([x for x in pairs if x[0] is not None]), none)
+    else:
+        raise ValueError(f"method {method!r} is neither 'compiled' nor 'join'")
 
     df = df.withColumn("__ov", ov_hit).withColumn("__rule", rule_hit)
     category = F.coalesce(F.col("__ov.category"), F.col("__rule.category"), base_cat, F.lit("Uncategorized"))
@@ -156,24 +142,45 @@ def categorize(txns: DataFrame, rules: DataFrame | None = None, overrides: DataF
     return df.select(category.alias("category"), is_sub.alias("is_subscription"), *out_cols)
 
 
+def _hit(r) -> Column:
+    return F.struct(F.lit(r["category"]).cast("string").alias("category"), F.lit(bool(r["subscription"])).alias("subscription"))
+
+
 def _rules_by_join(df: DataFrame, prepared: DataFrame) -> DataFrame:
-    """Large rule sets: broadcast nested-loop left join + keep-first per row."""
-    n = prepared.limit(MAX_BROADCAST_RULES + 1).count()
-    if n > MAX_BROADCAST_RULES:
-        raise ValueError("category_rules too large to broadcast")
+    """Best rule per distinct description, joined back by the description."""
     r = prepared.select([F.col(c).alias("__r_" + c) for c in prepared.columns])
     desc, pat = F.col("__desc_src"), F.col("__r_pattern")
     cond = (((F.col("__r_match_type") == "regex") & F.regexp_like(desc, pat))
             | ((F.col("__r_match_type") == "contains") & desc.contains(pat)))
-    keyed = df.withColumn("__rid", F.monotonically_increasing_id())
-    joined = keyed.join(F.broadcast(r), cond, "left")
-    order = [F.col("__r_prio").asc_nulls_last(), F.length("__r_pattern").desc_nulls_last(),
-             F.col("__r_category").asc_nulls_last(), F.col("__r_pattern").asc_nulls_last(),
-             F.col("__r_subscription").asc_nulls_last()]
-    best = keep_first(joined, ["__rid"], order)
-    hit = F.when(F.col("__r_category").isNotNull(),
-                 F.struct(F.col("__r_category").alias("category"), F.col("__r_subscription").alias("subscription")))
-    return best.withColumn("__rule_hit", hit).drop(*[c for c in best.columns if c.startswith("__r_")], "__rid")
+    rank = F.struct("__r_prio", -F.length("__r_pattern"), "__r_category", "__r_pattern", "__r_subscription")
+    hit = F.struct(F.col("__r_category").alias("category"), F.col("__r_subscription").alias("subscription"))
+    best = (df.select("__desc_src").distinct().join(r, cond)
+            .groupBy("__desc_src").agg(F.min_by(hit, rank).alias("__rule_hit")))
+    return df.join(best, "__desc_src", "left")
+
+
+def _overrides_by_join(df: DataFrame, active: DataFrame) -> DataFrame:
+    """Overrides whose pattern fits, per distinct description and in their
+    order; each row takes the first one whose date and amount fit too."""
+    o = active.select([F.col(c).alias("__o_" + c) for c in active.columns])
+    entry = F.struct(F.col("__o_category").isNull().alias("last"), F.col("__o_category").alias("category"),
+                     F.col("__o_subscription").alias("subscription"), F.col("__o_date").alias("date"),
+                     F.col("__o_amount").alias("amount"))
+    fits = (df.select("__desc_src").distinct().join(o, F.regexp_like(F.col("__desc_src"), F.col("__o_description_regex")))
+            .groupBy("__desc_src").agg(F.sort_array(F.collect_list(entry)).alias("__ovs")))
+
+    def ok(e):
+        cond = F.lit(True)
+        if "date" in df.columns:
+            cond = cond & (e["date"].isNull() | (e["date"] == F.col("date")))
+        if "amount_cents" in df.columns:
+            cond = cond & (e["amount"].isNull() | (F.floor(F.abs(e["amount"]) * 100 + 0.5) == F.abs(F.col("amount_cents"))))
+        elif "amount" in df.columns:
+            cond = cond & (e["amount"].isNull() | (F.abs(e["amount"]) == F.abs(F.col("amount"))))
+        return cond
+    first = F.get(F.filter("__ovs", ok), F.lit(0))
+    return df.join(fits, "__desc_src", "left").withColumn("__ov_hit", F.when(first.isNotNull(), F.struct(
+        first["category"].alias("category"), first["subscription"].alias("subscription")))).drop("__ovs")
 
 
 # ---------------------------------------------------------------- J-1 -----
@@ -181,7 +188,7 @@ def _rules_by_join(df: DataFrame, prepared: DataFrame) -> DataFrame:
 def prepare_ingest_rules(rules: DataFrame) -> list[dict]:
     """Ingest rules: priority (bad/missing -> 1000), lower match_type, sign
     ('any' default), optional account; sorted by priority, ties in table order."""
-    rows = _bounded_collect(rules, MAX_COMPILED_RULES, "category_rules")
+    rows = rules.collect()
     out = []
     for i, r in enumerate(rows):
         d = r.asDict()
@@ -190,7 +197,7 @@ def prepare_ingest_rules(rules: DataFrame) -> list[dict]:
             v = d.get(k)
             return default if v is None else str(v)
         try:
-            prio = int(float(txt("priority", "")))
+            prio = float(txt("priority", ""))
         except ValueError:
             prio = 1000
         sign = txt("sign", "any").strip().lower() or "any"
@@ -240,8 +247,7 @@ def override_diagnostics(txns: DataFrame, overrides: DataFrame) -> DataFrame:
 
     The override list is compiled into an array literal; each row keeps the
     applicable entries and explodes them — map-only, no join."""
-    ovs = [o for o in _bounded_collect(prepare_overrides(overrides), MAX_COMPILED_RULES, "category_overrides")
-           if o["active"] is True]
+    ovs = prepare_overrides(overrides).where("active").collect()
     descs = [F.col(c) for c in DESC_CANDIDATES if c in txns.columns]
     desc_src = F.lower(F.coalesce(*descs, F.lit("")))
     if not ovs:

@@ -39,7 +39,5 @@ def read_parquet_union(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def read_parquet_optional(spark: SparkSession, path: str) -> DataFrame | None:
     """A-7 (read side): a table that may not exist yet is None, not an error."""
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - missing path
-        return None
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return spark.read.parquet(path) if root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root) else None

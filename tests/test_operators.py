@@ -88,6 +88,31 @@ def test_categorize_precedence_and_empty_pattern(spark):
         assert got["3"] == ("Anvil", True)           # override beats rules, abs amount match
 
 
+def test_priorities_are_numbers(spark):
+    t = txns(spark, [("1", D(2024, 1, 1), "X", -1000, -10.0, "abc coffee", None, None)])
+    r = spark.createDataFrame([("contains", "abc", "First", 9.5, None), ("contains", "coffee", "Second", 10.0, None)],
+                              RULES.replace("priority int", "priority double"))
+    for method in ("compiled", "join"):
+        assert rules.categorize(t, r, None, method=method).first().category == "First"
+
+
+def test_many_rules_and_overrides_equal_few(spark):
+    t = txns(spark, [(str(i), D(2024, 1, 1 + i % 9), "X", -100 * i, -1.0 * i, f"shop w{i}w", None, None) for i in range(40)])
+    few = [("contains", "w7w", "Seven", 1, None), ("regex", "shop w1.w", "Ten", 2, "y")]
+    ov = [(True, "1/3/2024", "w2w", "$200.00", "Two", "yes"), (True, None, "w[34]w", None, "Three", None)]
+    many = few + [("contains", f"none{i}", f"N{i}", 3, None) for i in range(2500)]
+    more = ov + [(True, None, f"never{i}", None, f"A{i}", None) for i in range(2500)]
+    ovr = "active boolean, date string, description_regex string, amount string, category string, subscription string"
+    want = None
+    for method, r, o in (("compiled", few, ov), ("join", few, ov), ("join", many, more)):
+        got = {x.txn_id: (x.category, x.is_subscription) for x in rules.categorize(
+            t, spark.createDataFrame(r, RULES), spark.createDataFrame(o, ovr), method=method).collect()}
+        want = want or got
+        assert got == want
+    assert want["7"] == ("Seven", False) and want["12"] == ("Ten", True) and want["2"] == ("Two", True)
+    assert want["3"] == ("Three", False) and want["20"] == ("Uncategorized", False)
+
+
 def test_first_match_rules(spark):
     t = txns(spark, [("1", D(2024, 1, 1), "ACCT", -500, -5.0, "The Gear Store", "Vendor", None),
                      ("2", D(2024, 1, 1), "ACCT", 500, 5.0, "Coffee BAR", None, None)])
