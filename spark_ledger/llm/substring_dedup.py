@@ -5,18 +5,19 @@ a smaller id.  Candidates come level by level: short windows first; those that
 repeat in another document alone are extended to windows of twice the length,
 until the full length is reached or no candidates survive.
 
-The first level need not hold every position: in each run of positions that one
-full window covers, the short window of least hash is an anchor.  The choice
-looks at the words alone, so two documents that share a full window share its
-anchors, and about one position in twenty is shuffled.  An anchor inside a full
-window extends to the right or to the left without leaving it; both are tried.
-At the full length every window that holds a surviving one is compared by a
-128-bit fingerprint.
-
-Tables between levels are written to the shared folder; joins are on plain
-exchanges, so a passage shared by very many documents is split at run time.
-Null text has no words; texts shorter than the window lose nothing; rows that
-share an id never remove each other's words; an empty table gives no rows.
+The first level, half the full length, need not hold every position: in each run
+of half windows that one full window covers, the one of least hash is its anchor.
+The choice looks at the words alone, so documents that share a full window share
+its anchor, and about one position in fourteen is shuffled.  Full windows whose
+anchor repeats are then compared: they travel with their anchor's hash (64 bits)
+and 32 bits of their own, a run of windows in one row.  Each task first compares
+its own windows, so that a passage that very many documents share is sent once per
+task; anchors with more than ``HOT`` places (a common line in ever new
+surroundings) send their windows one by one, dealt by the window.
+
+Tables between levels are written to the shared folder.  Null text has no words;
+texts shorter than the window lose nothing; rows that share an id never remove
+each other's words; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,14 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spark_ledger.llm.common import cut_lineage, shared_path
-from spark_ledger.llm.words import WordHashes, windows
+from spark_ledger.llm.words import WordHashes, mix, windows
 
 
-def levels_of(length: int) -> tuple[int, int]:
-    """Lengths of the first and second level; each level is twice the one before
-    it, rounded up."""
-    twice = -(-length // 2)
-    return -(-twice // 2), twice
+#: places of an anchor above which its windows are dealt one by one
+HOT = 1000
+#: windows that a task compares at a time
+BATCH = 2_000_000
 
 
 def anchors_of(h: np.ndarray, span: int) -> np.ndarray:
@@ -64,116 +64,180 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _anchor_rows(length: int, small: int, twice: int):
+def _anchor_rows(length: int, half: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             out = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = text.as_py().encode().split()
-                if len(words) < length:
-                    continue
-                h = hashes.of(words)
-                hs = windows(h, small)
-                at = anchors_of(hs, length - small + 1)
-                ht = windows(h, twice)
-                right = np.where(at < len(ht), at, -1)                 # starts at the anchor
-                left = at - (twice - small)                            # ends with the anchor
-                out.append((np.full(len(at), doc), hs[at], right, np.where(right >= 0, ht[right], 0),
-                            np.where(left >= 0, left, -1), np.where(left >= 0, ht[left], 0)))
+                if len(words) >= length:
+                    h = windows(hashes.of(words), half)
+                    at = anchors_of(h, length - half + 1)
+                    out.append((np.full(len(at), doc), h[at], at))
             if out:
-                doc, hs, right, hr, left, hl = (np.concatenate(x) for x in zip(*out))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc), _signed(hs), pa.array(right.astype(np.int32)), _signed(hr.astype(np.uint64)),
-                     pa.array(left.astype(np.int32)), _signed(hl.astype(np.uint64))],
-                    ["doc_id", "h", "right", "hr", "left", "hl"])
+                doc, h, at = (np.concatenate(x) for x in zip(*out))
+                yield pa.RecordBatch.from_arrays([pa.array(doc), _signed(h), pa.array(at.astype(np.int32))], ["doc_id", "h", "at"])
     return run
 
 
-def _full_rows(length: int, twice: int):
-    """Every full window that holds a surviving window of ``twice`` words."""
+def _runs(doc: np.ndarray, at: np.ndarray, key: np.ndarray, w: np.ndarray | None) -> pa.RecordBatch:
+    """Rows of consecutive windows of one document (and, with ``w``, one key)."""
+    order = np.lexsort((at, doc))
+    doc, at = doc[order], at[order]
+    new = (doc[1:] != doc[:-1]) | (at[1:] != at[:-1] + 1)
+    if w is not None:
+        key, w = key[order], w[order].astype("<u4")
+        new |= key[1:] != key[:-1]
+    first = np.flatnonzero(np.concatenate([[True], new])) if len(doc) else np.zeros(0, np.int64)
+    ends = np.append(first[1:], len(doc))
+    raw = pa.py_buffer(w.tobytes()) if w is not None else pa.py_buffer(b"")
+    offsets = np.append(first, len(doc)) * 4 if w is not None else np.zeros(len(first) + 1)
+    keys = _signed(key[first]) if w is not None else pa.nulls(len(first), pa.int64())
+    return pa.RecordBatch.from_arrays([
+        keys, pa.array(doc[first]), pa.array(at[first].astype(np.int32)), pa.array((ends - first).astype(np.int32)),
+        pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.astype(np.int32)), raw])],
+        ["key", "doc_id", "at", "n", "w"])
+
+
+_RUNS = "key long, doc_id long, at int, n int, w binary"
+
+
+def _repeats(key: np.ndarray, w: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which windows also start in a document of smaller id among these."""
+    order = np.lexsort((doc, w, key))
+    k, x, d = key[order], w[order], doc[order]
+    first = np.concatenate([[True], (k[1:] != k[:-1]) | (x[1:] != x[:-1])])
+    least = d[np.maximum.accumulate(np.where(first, np.arange(len(d)), 0))]
+    out = np.zeros(len(d), bool)
+    out[order] = d > least
+    return out
+
+
+def _window_rows(length: int, half: int):
+    """Full windows whose anchor repeats: runs without a key are to be removed,
+    runs with a key are still to be compared with those of other tasks."""
+    span = length - half + 1
+
+    def compared(held):
+        key, w, doc, at = (np.concatenate(x) for x in zip(*held))
+        gone = _repeats(key, w, doc)
+        yield _runs(doc[gone], at[gone], key, None)
+        yield _runs(doc[~gone], at[~gone], key[~gone], w[~gone])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, held, total = WordHashes(), [], 0
         for batch in batches:
-            for doc, text, at in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            for doc, text, at, hot in zip(batch.column(0).to_pylist(), *(batch.column(i) for i in (1, 2, 3))):
                 h = hashes.of(text.as_py().encode().split())
-                n = len(h) - length + 1
-                near = np.zeros(n + 1, np.int64)
-                at = np.unique(at.values.to_numpy())
-                np.add.at(near, np.clip(at - (length - twice), 0, n), 1)
-                np.add.at(near, np.clip(at + 1, 0, n), -1)
-                where = np.flatnonzero(np.cumsum(near[:n]) > 0)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(where), doc)), pa.array(where.astype(np.int32)),
-                     _signed(windows(h, length)[where]), _signed(windows(h, length, 1)[where])],
-                    ["doc_id", "at", "ha", "hb"])
+                hs, full = windows(h, half), windows(h, length)
+                alive = np.zeros(len(hs), np.int8)
+                alive[at.values.to_numpy()] = 1
+                alive[hot.values.to_numpy()] = 2
+                anchor = np.lib.stride_tricks.sliding_window_view(hs, span).argmin(axis=1) + np.arange(len(full))
+                where = np.flatnonzero(alive[anchor] > 0)
+                anchor = anchor[where]
+                w = full[where]
+                key = np.where(alive[anchor] == 2, mix(hs[anchor] ^ w), hs[anchor])
+                held.append((key, (w >> np.uint64(32)).astype(np.uint32), np.full(len(where), doc), where))
+                total += len(where)
+                if total >= BATCH:
+                    yield from compared(held)
+                    held, total = [], 0
+        if held:
+            yield from compared(held)
     return run
 
 
-def _removed(length: int):
+def _compare_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by key: windows to be removed, key by key."""
+    def removed(table: pa.Table) -> pa.RecordBatch:
+        n = table.column("n").to_numpy()
+        within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        key, doc, at = (np.repeat(table.column(c).to_numpy(), n) for c in ("key", "doc_id", "at"))
+        w = np.frombuffer(b"".join(table.column("w").to_pylist()), "<u4")
+        gone = _repeats(key, w, doc)
+        return _runs(doc[gone], (at + within)[gone], key, None)
+
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if rest is not None:
+            table = pa.concat_tables([rest, table])
+        key = table.column("key").to_numpy()
+        cut = int(np.searchsorted(key, key[-1])) if len(key) else 0      # the last key may go on in the next batch
+        if cut:
+            yield removed(table.slice(0, cut))
+        rest = table.slice(cut)
+    if rest is not None and rest.num_rows:
+        yield removed(rest)
+
+
+def _cut(length: int, untouched: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_removed, kept = [], [], []
-            for text, at in zip(batch.column(1), batch.column(2)):
+            for text, runs in zip(batch.column(1), batch.column(2)):
                 words = text.as_py().encode().split()
-                cover = np.zeros(len(words) + 1, np.int64)
-                if at.is_valid:
-                    at = np.unique(at.values.to_numpy())
-                    at = at[at + length <= len(words)]
-                    cover[at] += 1
-                    np.add.at(cover, at + length, -1)
+                left = words
+                if runs.is_valid:
+                    cover = np.zeros(len(words) + 1, np.int64)
+                    runs = runs.values
+                    at, n = runs.field("at").to_numpy(), runs.field("n").to_numpy()
+                    fits = at + n - 1 + length <= len(words)       # rows that share an id may be of other lengths
+                    at, n = at[fits], n[fits]
+                    np.add.at(cover, at, 1)
+                    np.add.at(cover, at + n - 1 + length, -1)
                     gone = np.cumsum(cover[:-1]) > 0
                     left = [w for w, g in zip(words, gone.tolist()) if not g]
-                else:
-                    left = words
                 n_words.append(len(words))
                 n_removed.append(len(words) - len(left))
-                kept.append(b" ".join(left).decode())
+                whole = untouched and len(left) == len(words)
+                kept.append(text.as_py() if whole else b" ".join(left).decode())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
-                ["doc_id", "n_words", "n_removed", "kept"])
+                ["row", "n_words", "n_removed", "kept"])
     return run
 
 
-def repeated(rows: DataFrame, *keys: str) -> DataFrame:
-    """Keys found in two documents or more, with the smallest id; written, so
-    that joins with it stand on plain exchanges."""
-    return cut_lineage(rows.groupBy(*keys).agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last"))
-                       .where("_first < _last").drop("_last"))
+def _base(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def repeated_windows(docs: DataFrame, length: int = 50) -> DataFrame:
-    """``doc_id, at``: start words of the windows to be removed."""
-    spark = docs.sparkSession
-    small, twice = levels_of(length)
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    """``doc_id, at, n``: runs of ``n`` windows from start word ``at`` that are to
+    be removed.  Rows that share an id must have the same text to lose words."""
+    spark, half = docs.sparkSession, -(-length // 2)
     path = shared_path(spark, "anchors")
-    base.mapInArrow(_anchor_rows(length, small, twice),
-                    "doc_id long, h long, right int, hr long, left int, hl long").write.parquet(path)
+    _base(docs).mapInArrow(_anchor_rows(length, half), "doc_id long, h long, at int").write.parquet(path)
     anchors = spark.read.parquet(path)
-    alive = anchors.join(repeated(anchors, "h"), "h", "leftsemi")
-    doubled = alive.select("doc_id", F.explode(F.array(
-        F.struct(F.col("right").alias("at"), F.col("hr").alias("h2")),
-        F.struct(F.col("left").alias("at"), F.col("hl").alias("h2")))).alias("w")) \
-        .select("doc_id", "w.at", "w.h2").where("at >= 0")
-    path2 = shared_path(spark, "doubled")
-    doubled.write.parquet(path2)
-    doubled = spark.read.parquet(path2)
-    alive = doubled.join(repeated(doubled, "h2"), "h2", "leftsemi")
-    at = alive.groupBy("doc_id").agg(F.collect_set("at").alias("at"))
-    path3 = shared_path(spark, "full")
-    (base.join(at, "doc_id").select("doc_id", "text", "at")
-     .mapInArrow(_full_rows(length, twice), "doc_id long, at int, ha long, hb long").write.parquet(path3))
-    full = spark.read.parquet(path3)
-    return (full.join(repeated(full, "ha", "hb"), ["ha", "hb"])
-            .where("_first < doc_id").select("doc_id", "at"))
+    # written, so that the join stands on plain exchanges
+    repeats = cut_lineage(anchors.groupBy("h").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.count("*").alias("n"))
+                          .where("x < y").select("h", (F.col("n") > HOT).alias("hot")))
+    at = anchors.join(repeats, "h").groupBy("doc_id").agg(
+        F.collect_list("at").alias("alive"), F.collect_list(F.when(F.col("hot"), F.col("at"))).alias("hot"))
+    path = shared_path(spark, "windows")
+    (_base(docs).join(at, "doc_id").select("doc_id", "text", "alive", "hot")
+     .mapInArrow(_window_rows(length, half), _RUNS).write.parquet(path))
+    runs = spark.read.schema(_RUNS).parquet(path)
+    far = (runs.where("key is not null").repartition("key").sortWithinPartitions("key").mapInArrow(_compare_runs, _RUNS))
+    return runs.where("key is null").unionByName(far).select("doc_id", "at", "n")
+
+
+def without_windows(docs: DataFrame, runs: DataFrame, length: int = 50, untouched: bool = False) -> DataFrame:
+    """The other columns of ``docs`` as struct ``row``, with ``n_words, n_removed,
+    kept``: the text's words without those covered by the runs, joined by one
+    space (``untouched``: texts that lose nothing stay as they are)."""
+    per_doc = runs.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("_runs"))
+    rows = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("row"),
+                       F.coalesce("text", F.lit("")).alias("text"), F.col("doc_id").cast("long").alias("_id"))
+    joined = rows.join(per_doc.withColumnRenamed("doc_id", "_id"), "_id", "left").select("row", "text", "_runs")
+    schema = joined.select("row", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"),
+                           F.col("text").alias("kept")).schema
+    return joined.mapInArrow(_cut(length, untouched), schema)
 
 
 def substring_dedup(docs: DataFrame, length: int = 50) -> DataFrame:
-    """``doc_id, n_words, n_removed, kept``: each text without the words of
-    windows that start in a document of smaller id; kept words are joined by one
-    space."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    at = repeated_windows(docs, length).groupBy("doc_id").agg(F.collect_set("at").alias("at"))
-    return base.join(at, "doc_id", "left").select("doc_id", "text", "at").mapInArrow(
-        _removed(length), "doc_id long, n_words long, n_removed long, kept string")
+    """``doc_id, n_words, n_removed, kept`` of every row."""
+    cut = without_windows(docs.select("doc_id", "text"), repeated_windows(docs, length), length)
+    return cut.select("row.doc_id", "n_words", "n_removed", "kept")
