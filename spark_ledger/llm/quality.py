@@ -25,8 +25,9 @@ from spark_ledger.llm.common import SPACE, cut_lineage
 BUCKETS = 1 << 16
 #: trusted documents the target is fit on: the first by hash of their id
 TARGET_ROWS = 20_000
-#: mean log ratio per n-gram under which a document is rejected
-THRESHOLD = -0.12
+#: mean log ratio per n-gram under which a document is rejected; lenient, so that
+#: clean documents stay also where few rows are trusted
+THRESHOLD = -0.3
 
 
 def words_of(text):
@@ -68,7 +69,9 @@ def grams_of(words, buckets: int):
 
 
 def ratio_weights(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS, target_rows: int = TARGET_ROWS) -> DataFrame:
-    """``bucket, w``: add-one smoothed log ratio of target to raw corpus."""
+    """``bucket, w``: log ratio of target to raw corpus.  The target is smoothed by
+    ``buckets`` pseudo-counts in the raw corpus's proportions, so that few
+    trusted rows say little."""
     some = (trusted_ids.select(F.col("doc_id").alias("_t")).where("_t is not null").distinct()
             .orderBy(F.xxhash64("_t"), "_t").limit(target_rows))
     grams = (docs.join(F.broadcast(some), F.col("doc_id") == F.col("_t"), "left")      # at most target_rows ids
@@ -79,8 +82,9 @@ def ratio_weights(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKET
     total = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
     if not total["target"]:
         return counts.select("bucket", F.lit(0.0).alias("w"))
-    shift = math.log(total["raw"] + buckets) - math.log(total["target"] + buckets)
-    return counts.select("bucket", (F.log(F.col("target") + 1) - F.log(F.col("raw") + 1) + F.lit(shift)).alias("w"))
+    share = F.col("raw") / F.lit(float(total["raw"]))
+    return counts.select("bucket", (F.log((F.col("target") + buckets * share) / share)
+                                    - F.lit(math.log(total["target"] + buckets))).alias("w"))
 
 
 def quality(docs: DataFrame, trusted_ids: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:

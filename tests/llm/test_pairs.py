@@ -103,7 +103,7 @@ def test_e8_decoder_finds_the_nearest_point():
     assert (twice.sum(axis=1) % 4 == 0).all()
 
 
-@pytest.mark.parametrize("rows", [2048, 6])
+@pytest.mark.parametrize("rows", [2048, 40])
 def test_near_vectors_equal_brute_force(spark, monkeypatch, rows):
     from spark_ledger.llm import embedding_dedup
     monkeypatch.setattr(embedding_dedup, "ROWS", rows)
