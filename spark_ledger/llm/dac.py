@@ -91,7 +91,7 @@ class Dac:
         return out
 
 
-SHARDS = "part int, shard int, docs array<long>, lens array<long>, n_ids long, code binary"
+SHARDS = "part int, shard int, before long, docs array<long>, lens array<long>, n_ids long, code binary"
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, shard_ids: int = 1 << 20,
@@ -106,15 +106,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part = encoder(WordEndEncoder, tokenizer_path), TaskContext.get().partitionId()
-        held, held_ids, shard = [], 0, 0
+        held, held_ids, shard, before = [], 0, 0, 0
 
         def flush():
             ids, counts = np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
             return pa.RecordBatch.from_arrays([
-                pa.array([part], pa.int32()), pa.array([shard], pa.int32()),
+                pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([before], pa.int64()),
                 pa.array([np.concatenate([h[0] for h in held])], pa.list_(pa.int64())),
                 pa.array([counts], pa.list_(pa.int64())), pa.array([len(ids)], pa.int64()),
-                pa.array([dac_encode(ids)], pa.binary())], ["part", "shard", "docs", "lens", "n_ids", "code"])
+                pa.array([dac_encode(ids)], pa.binary())], ["part", "shard", "before", "docs", "lens", "n_ids", "code"])
 
         for batch in batches:
             texts = batch.column(1).cast(pa.string())
@@ -125,7 +125,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
                 held_ids += len(flat)
                 if held_ids >= shard_ids:
                     yield flush()
-                    held, held_ids, shard = [], 0, shard + 1
+                    held, held_ids, shard, before = [], 0, shard + 1, before + held_ids
         if held:
             yield flush()
 
@@ -143,28 +143,24 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, shard, docs, lens, code in zip(*(batch.column(i) for i in range(5)), strict=True):
+            for base, docs, lens, code in zip(*(batch.column(i) for i in range(4)), strict=True):
                 ids = Dac(code.as_py()).all().astype("<u4")
                 lens = lens.values.to_numpy()
                 ends = np.concatenate([[0], np.cumsum(lens)])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(lens), part.as_py(), np.int32)), pa.array(np.full(len(lens), shard.as_py(), np.int32)),
-                    docs.values, pa.array(ends[:-1]), pa.array(lens),
+                    docs.values, pa.array(ends[:-1] + base.as_py()), pa.array(lens),
                     pa.Array.from_buffers(pa.binary(), len(lens), [None, pa.py_buffer((ends * 4).astype(np.int32)),
                                                                     pa.py_buffer(ids.tobytes())])],
-                    ["part", "shard", "doc_id", "start", "n_tokens", "tokens"])
+                    ["doc_id", "start", "n_tokens", "tokens"])
 
     shards = spark.read.schema(SHARDS).parquet(path)
-    within = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    before = shards.select("part", "shard", "n_ids", F.coalesce(F.sum("n_ids").over(within), F.lit(0)).alias("in_part"))
     totals = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
     starts = totals.select("part", F.coalesce(F.sum("n").over(
         Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("of_part"))
-    base = before.join(starts, "part").select("part", "shard", (F.col("in_part") + F.col("of_part")).alias("base"))
-    rows = shards.select("part", "shard", "docs", "lens", "code").mapInArrow(
-        run, "part int, shard int, doc_id long, start long, n_tokens long, tokens binary")
-    return rows.join(base, ["part", "shard"]).select(
-        "doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "tokens")
+    # one row per written partition, so it is broadcast
+    return (shards.select("part", "before", "docs", "lens", "code").join(F.broadcast(starts), "part")
+            .select((F.col("before") + F.col("of_part")).alias("base"), "docs", "lens", "code")
+            .mapInArrow(run, "doc_id long, start long, n_tokens long, tokens binary"))
 
 
 def token_at(shards: DataFrame, part: int, shard: int, i: int) -> int:
