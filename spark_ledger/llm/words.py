@@ -7,7 +7,7 @@ import xxhash
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xC2B2AE3D27D4EB4F)
-MAX_WORDS = 300_000        # entries of the table before it is emptied
+MAX_WORDS = 500_000        # entries of the table before it is emptied
 
 
 class WordHashes(dict):
