@@ -99,7 +99,7 @@ def test_priorities_are_numbers(spark):
 def test_many_rules_and_overrides_equal_few(spark):
     t = txns(spark, [(str(i), D(2024, 1, 1 + i % 9), "X", -100 * i, -1.0 * i, f"shop w{i}w", None, None) for i in range(40)])
     few = [("contains", "w7w", "Seven", 1, None), ("regex", "shop w1.w", "Ten", 2, "y")]
-    ov = [(True, "1/3/2024", "w2w", "$200.00", "Two", "yes"), (True, None, "w[34]w", None, "Three", None)]
+    ov = [(True, "1/3/2024", "w2w", "$2.00", "Two", "yes"), (True, None, "w[34]w", None, "Three", None)]
     many = few + [("contains", f"none{i}", f"N{i}", 3, None) for i in range(2500)]
     more = ov + [(True, None, f"never{i}", None, f"A{i}", None) for i in range(2500)]
     ovr = "active boolean, date string, description_regex string, amount string, category string, subscription string"
