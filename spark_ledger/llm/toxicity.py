@@ -1,24 +1,28 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max
-inverted index, and distance-weighted votes.
+"""Toxicity by nearest labelled examples: exact weighted TF-IDF cosine over the
+whole texts, and distance-weighted votes.
 
 Terms are words and beginnings of words (``PREFIXES`` letters, marked ``*``), so
 inflected and compounded forms count together.  Examples are a bounded sample of the labelled rows (``max_examples``, the first
-by hash of their id; equal texts count once).  Kept are the ``max_terms`` terms that tell the classes
-apart best (G-squared over the examples); their document frequencies come from
-the whole corpus.  The index holds, per term, the examples that have it with
-their weights, in blocks with each block's largest weight.  A text is compared
-with blocks in the order of their upper bounds until no block can hold a nearer
-example, so the ``k`` nearest are exact; ties go to the smaller example id.
+by hash of their id; equal texts count once).  Every term of every example is in
+the index; document frequencies come from the whole corpus.  A term's TF-IDF
+weight is multiplied by how far its odds differ between the classes of the
+examples (``relevance``), which does not depend on how frequent it is, so a rare
+language's insult weighs as much as a frequent one and the topic of a long text
+does not drown it.  Terms in a sixteenth of the examples or more are compared by
+a matrix product in single precision, the others by their postings; examples
+within the rounding error of the ``k``-th are compared again in double
+precision, so the ``k`` nearest are exact; ties go to the smaller example id.
 
 Score: the votes of the neighbours weighted by cosine, with the examples' share
-of toxic rows as ``prior_weight`` further votes.  Texts with no term (null and
-empty ones too) meet the examples that have none either: their share of toxic
-rows.  Without examples of both classes every score is 0.5 or that class's share.
-Repeated rows give repeated results; an empty table an empty result.
+of toxic rows as ``prior_weight`` further votes.  Texts with no term of any
+example (null and empty ones too) meet the examples that have none either: their
+share of toxic rows.  Without examples of both classes every score is 0.5 or that
+class's share.  Repeated rows give repeated results; an empty table an empty result.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections import Counter
@@ -32,12 +36,12 @@ from pyspark.sql import functions as F
 from spark_ledger.llm.common import cut_lineage
 
 _WORD = re.compile(r"[^\W\d_]+")
-BLOCK = 64
+PART = 1 << 14             # terms whose counts travel as one row
 
 
 PREFIXES = (3, 4, 5, 6, 7)
 OFTEN = (2, 4)             # a term counts again, as ``term>=n``, where it occurs so often
-MAX_WORDS = 300_000        # words remembered by a task's table
+MAX_WORDS = 50_000        # words remembered by a task's table
 
 
 def terms_of(text: str) -> dict[str, int]:
@@ -54,95 +58,198 @@ class WordTerms(dict):
 
     def __init__(self, terms: list[str]):
         super().__init__()
-        self.number, self.often = {}, {}
+        self.number: dict[str, int] = {}
+        at, often = np.zeros(len(terms), np.int32), np.ones(len(terms), np.int32)
         for i, t in enumerate(terms):
             plain, _, k = t.partition(">=")
-            n = self.number.setdefault(plain, len(self.number))
-            self.often.setdefault(n, []).append((int(k or 1), i))
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
+            at[i] = self.number.setdefault(plain, len(self.number))
+            if k:
+                often[i] = int(k)
+        # number of the term for a plain term that occurs once, and so often; -1: none
+        self.term = {k: np.full(len(self.number), -1, np.int32) for k in (1, *OFTEN)}
+        for k, of in self.term.items():
+            of[at[often == k]] = np.flatnonzero(often == k)
+
+    def __missing__(self, word: str) -> list[int]:
         if len(self) > MAX_WORDS:
             self.clear()
         names = [word] + [word[:n] + "*" for n in PREFIXES if len(word) > n]
-        got = self[word] = tuple(self.number[t] for t in names if t in self.number)
+        got = self[word] = [self.number[t] for t in names if t in self.number]
         return got
 
-    def counts(self, text: str) -> dict[int, int]:
-        """Occurrences of the terms in a text."""
-        plain = Counter(t for w in _WORD.findall(text.lower()) for t in self[w])
-        return {i: 1 if k > 1 else n for t, n in plain.items() for k, i in self.often[t] if n >= k}
+    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the text's terms, ascending, and their occurrences."""
+        plain: list[int] = []
+        times: list[int] = []
+        for word, n in Counter(_WORD.findall(text.lower())).items():
+            got = self[word]
+            plain += got
+            times += [n] * len(got)
+        at, back = np.unique(np.array(plain, np.int64), return_inverse=True)
+        n = np.bincount(back, times, len(at)) if len(at) else np.zeros(0)
+        t = np.concatenate([self.term[1][at], *(self.term[k][at[n >= k]] for k in OFTEN)])
+        n = np.concatenate([n, np.ones(len(t) - len(n))])
+        t, n = t[t >= 0], n[t >= 0]
+        order = np.argsort(t)
+        return t[order], n[order]
+
+
+def weighted(t: np.ndarray, n: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Term numbers and unit-length weights."""
+    w = (1 + np.log(n)) * weights[t]
+    norm = math.sqrt(float(w @ w))
+    return (t, w / norm) if norm else (t[:0], w[:0])
 
 
 def vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Term numbers and unit-length TF-IDF weights."""
+    """The same of a dictionary."""
     t = np.array(sorted(counts), np.int64)
-    w = np.array([1 + math.log(counts[i]) for i in t.tolist()]) * idf[t] if len(t) else np.zeros(0)
-    norm = math.sqrt(float(w @ w))
-    return (t, w / norm) if norm else (t[:0], w[:0])
+    return weighted(t, np.array([counts[i] for i in t.tolist()], float), idf)
+
+
+def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Positions of all spans, one after the other."""
+    before = np.cumsum(size) - size
+    return np.arange(int(size.sum())) + np.repeat(start - before, size)
 
 
 class BlockMaxIndex:
-    """Inverted index over unit vectors, examples in blocks of ``BLOCK``."""
+    """Exact nearest unit vectors: ``FREQUENT`` terms as a matrix, others as postings.
+    (The name is older: whole texts share so many terms that bounds of blocks prune none.)"""
+
+    FREQUENT = 16
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
-        self.n, self.blocks = len(vectors), -(-len(vectors) // BLOCK)
-        self.postings: list[dict[int, tuple[np.ndarray, np.ndarray]]] = [{} for _ in range(n_terms)]
-        self.most = np.zeros((n_terms, max(self.blocks, 1)))
-        lists: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for e, (terms, weights) in enumerate(vectors):
-            for t, w in zip(terms.tolist(), weights.tolist()):
-                lists.setdefault((t, e // BLOCK), []).append((e % BLOCK, w))
-        for (t, b), post in lists.items():
-            at, w = np.array([p[0] for p in post]), np.array([p[1] for p in post])
-            self.postings[t][b] = (at, w)
-            self.most[t, b] = w.max()
+        self.n, self.n_terms = len(vectors), n_terms
+        size = np.array([len(t) for t, _ in vectors], np.int64)
+        self.start = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+        self.t = np.concatenate([np.zeros(0, np.int32), *(t for t, _ in vectors)]).astype(np.int32)
+        self.w = np.concatenate([np.zeros(0), *(w for _, w in vectors)])
+
+        example = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(self.start))
+        held = np.bincount(self.t, minlength=self.n_terms)
+        often = np.flatnonzero(held * self.FREQUENT >= max(self.n, 1))
+        self.row = np.full(self.n_terms, -1, np.int32)
+        self.row[often] = np.arange(len(often))
+        self.matrix = np.zeros((len(often), self.n), np.float32)
+        is_often = self.row[self.t] >= 0
+        self.matrix[self.row[self.t[is_often]], example[is_often]] = self.w[is_often]
+        rest = np.flatnonzero(~is_often)
+        rest = rest[np.argsort(self.t[rest], kind="stable")]
+        # only to find candidates, so single precision does
+        self.post, self.post_w = example[rest], self.w[rest].astype(np.float32)
+        self.size = np.where(self.row >= 0, 0, held)
+        self.first = np.cumsum(self.size) - self.size
+        self.query = np.zeros(self.n_terms)
+        # twice what single precision can be off by for unit vectors
+        self.margin = 2.4e-7 * (len(often) + 16)
+
+    def many(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[float, int]]]:
+        """Of each vector the ``k`` examples of largest positive cosine as ``(cosine, example)``."""
+        if not self.n:
+            return [[] for _ in vectors]
+        q = np.zeros((len(vectors), len(self.matrix)), np.float32)
+        for i, (t, w) in enumerate(vectors):
+            row = self.row[t]
+            q[i, row[row >= 0]] = w[row >= 0]
+        near = q @ self.matrix
+        return [self._best(near[i], t, w, k) for i, (t, w) in enumerate(vectors)]
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
-        """The ``k`` examples of largest positive cosine as ``(cosine, example)``."""
-        bound = weights @ self.most[terms]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            # a bound equal to the k-th cosine may still hide a tie of smaller id
-            if bound[b] <= 0 or len(best) == k and bound[b] < best[-1][0] - 1e-12:
-                break
-            score = np.zeros(BLOCK)
-            for t, w in zip(terms.tolist(), weights.tolist()):
-                post = self.postings[t].get(b)
-                if post is not None:
-                    score[post[0]] += w * post[1]
-            hit = np.flatnonzero(score > 0)
-            best += zip(np.round(score[hit], 12).tolist(), (hit + b * BLOCK).tolist())
-            best.sort(key=lambda x: (-x[0], x[1]))
-            del best[k:]
-        return best
+        return self.many([(terms, weights)], k)[0]
+
+    def _best(self, near: np.ndarray, t: np.ndarray, w: np.ndarray, k: int) -> list[tuple[float, int]]:
+        size = self.size[t]
+        at = _spans(self.first[t], size)
+        near = near + np.bincount(self.post[at], self.post_w[at] * np.repeat(w, size), self.n)
+        least = np.partition(near, self.n - k)[self.n - k] - self.margin if self.n > k else 0.0
+        some = np.flatnonzero((near >= least) & (near > 0))
+        self.query[t] = w
+        found = []
+        for e in some.tolist():
+            a, b = self.start[e], self.start[e + 1]
+            found.append((round(float(self.w[a:b] @ self.query[self.t[a:b]]), 12), e))
+        self.query[t] = 0
+        return sorted((x for x in found if x[0] > 0), key=lambda x: (-x[0], x[1]))[:k]
+
+
+def pack(x: np.ndarray) -> bytes:
+    return pa.compress(x.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack(z: bytes, size: int, kind) -> np.ndarray:
+    return np.frombuffer(pa.decompress(z, size * np.dtype(kind).itemsize, codec="zstd", asbytes=True), kind)
+
+
+class Terms:
+    """A list of terms, small to send."""
+
+    def __init__(self, terms: list[str]):
+        text = "\n".join(terms).encode()
+        self.packed = pa.compress(text, codec="zstd", asbytes=True), len(text)
+
+    def list(self) -> list[str]:
+        text = pa.decompress(*self.packed, codec="zstd", asbytes=True).decode()
+        return text.split("\n") if text else []
+
+    def table(self) -> WordTerms:
+        return _table(*self.packed)
+
+
+@functools.lru_cache(maxsize=1)
+def _table(packed: bytes, size: int) -> WordTerms:
+    """Made once per Python worker."""
+    out = Terms([])
+    out.packed = packed, size
+    return WordTerms(out.list())
 
 
 class Model:
-    """Terms, idf, index and labels; small enough to be sent to every task."""
-
-    def __init__(self, terms: list[str], idf: np.ndarray, examples: list[tuple[dict[int, int], int]], k: int, prior_weight: float):
-        self.idf, self.k, self.m = idf, k, prior_weight
-        bare = [y for c, y in examples if not c]
-        held = [(c, y) for c, y in examples if c]
-        self.labels = np.array([y for _, y in held], float)
-        self.index = BlockMaxIndex([vector(c, idf) for c, _ in held], len(terms))
-        every = [y for _, y in examples]
-        self.prior = sum(every) / len(every) if every else 0.5
-        self.bare = (sum(bare) + self.m * self.prior) / (len(bare) + self.m) if every else 0.5
-        self.words = WordTerms(terms)
-
-    def score(self, text: str) -> float:
-        return self.evidence(text)[0]
+    """Terms, weights and the examples' counts, packed to be sent to every task;
+    index and table of words are made from them where they are first used."""
+
+    def __init__(self, terms: Terms, weights: np.ndarray, examples: list[tuple[np.ndarray, np.ndarray, int]], k: int,
+                 prior_weight: float):
+        self.words, self.weights, self.k, self.m = terms, weights, k, prior_weight
+        self.y = [y for *_, y in examples]
+        self.packed = [(len(t), pack(np.diff(t, prepend=0).astype(np.int32)), pack(n.astype(np.int32))) for t, n, _ in examples]
+        self.prior = sum(self.y) / len(self.y) if self.y else 0.5
+        self.opened = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"opened": None}
+
+    @property
+    def terms(self) -> list[str]:
+        return self.words.list()
+
+    def _open(self):
+        if self.opened is None:
+            vectors = [weighted(np.cumsum(unpack(t, size, np.int32), dtype=np.int32), unpack(n, size, np.int32), self.weights) if size
+                       else (np.zeros(0, np.int64), np.zeros(0)) for size, t, n in self.packed]
+            bare = [y for v, y in zip(vectors, self.y) if not len(v[0])]
+            labels = np.array([y for v, y in zip(vectors, self.y) if len(v[0])], float)
+            index = BlockMaxIndex([v for v in vectors if len(v[0])], len(self.weights))
+            self.opened = index, labels, (sum(bare) + self.m * self.prior) / (len(bare) + self.m) if self.y else 0.5
+        return self.opened
+
+    def scores(self, texts: list[str]) -> list[float]:
+        return [s for s, _ in self.evidences(texts)]
 
     def evidence(self, text: str) -> tuple[float, list[tuple[float, int]]]:
         """Score and the neighbours that gave it."""
-        t, w = vector(self.words.counts(text), self.idf)
-        if not len(t):
-            return self.bare, []
-        near = self.index.nearest(t, w, self.k)
-        weight = sum(s for s, _ in near)
-        votes = sum(s * self.labels[e] for s, e in near)
-        return float((votes + self.m * self.prior) / (weight + self.m)), near
+        return self.evidences([text])[0]
+
+    def evidences(self, texts: list[str]) -> list[tuple[float, list[tuple[float, int]]]]:
+        index, labels, bare = self._open()
+        table = self.words.table()
+        vectors = [weighted(*table.counts(t), self.weights) for t in texts]
+        out = []
+        for (t, _), near in zip(vectors, index.many(vectors, self.k)):
+            weight = sum(s for s, _ in near)
+            votes = sum(s * labels[e] for s, e in near)
+            out.append((float((votes + self.m * self.prior) / (weight + self.m)) if len(t) else bare, near))
+        return out
 
 
 def _emit(docs: DataFrame, make, kind: str, *keep: str) -> DataFrame:
@@ -164,20 +271,38 @@ def _emit(docs: DataFrame, make, kind: str, *keep: str) -> DataFrame:
     return src.mapInArrow(run, schema)
 
 
-def term_counts(docs: DataFrame, terms: list[str], *keep: str) -> DataFrame:
-    """``keep, has array<int>``: the numbers of the text's terms, as often as
-    they count."""
-    def make():
-        words = WordTerms(terms)
-        return lambda text: [i for i, n in words.counts(text).items() for _ in range(n)]
-    return _emit(docs, make, "int", *keep)
+def corpus_counts(docs: DataFrame, sent, n_terms: int) -> np.ndarray:
+    """Documents that hold each term, and last the number of documents.  Tasks send
+    their sums as ``PART`` numbers a row, which are added up by part."""
+    schema = "part int, n binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, n = sent.value.table(), np.zeros(n_terms + 1, np.int64)
+        for batch in batches:
+            for t in batch.column(0):
+                n[words.counts(t.as_py() or "")[0]] += 1
+            n[n_terms] += batch.num_rows
+        rows = [(i, n[i * PART:(i + 1) * PART]) for i in range(n_terms // PART + 1)] if n[n_terms] else []
+        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int32()),
+                                          pa.array([x.tobytes() for _, x in rows], pa.binary())], ["part", "n"])
+
+    def add(table: pa.Table) -> pa.Table:
+        n = sum(np.frombuffer(x.as_py(), np.int64) for x in table["n"])
+        return pa.table({"part": table["part"][:1], "n": pa.array([n.tobytes()], pa.binary())})
+
+    out = np.zeros(n_terms + 1, np.int64)
+    for r in docs.select("text").mapInArrow(run, schema).groupBy("part").applyInArrow(add, schema).collect():    # the terms / PART
+        out[r["part"] * PART:(r["part"] + 1) * PART] = np.frombuffer(r["n"], np.int64)
+    return out
+
+
+def relevance(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """How far the odds of a term differ between the classes (log)."""
+    return np.abs(np.log((a + .5) / (n1 + 1)) - np.log((b + .5) / (n0 + 1)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 8000, max_terms: int = 128, k: int = 15,
-        prior_weight: float = 0.5, min_rows: int = 5,
-        min_gain: float = 0.1) -> Model:
-    """``labels`` has ``doc_id, toxic`` (0/1) and only rows to learn from.  Terms
-    need ``min_rows`` examples and ``min_gain`` times the best term's gain."""
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 8000, k: int = 15, prior_weight: float = 0.5) -> Model:
+    """``labels`` has ``doc_id, toxic`` (0/1) and only rows to learn from."""
     some = (labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples).withColumnRenamed("doc_id", "_id"))
     # at most max_examples ids; equal texts are one example, toxic if any is
@@ -186,40 +311,44 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 8000, max_terms:
                            .agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic")))
     sizes = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    if not n1 or not n0:
-        return Model([], np.zeros(0), [({}, y) for y, n in sizes.items() for _ in range(n)], k, prior_weight)
+    none = np.zeros(0, np.int64)
+    # what is collected below grows with the examples' texts, not with the corpus
     per = (_emit(examples, lambda: lambda text: list(terms_of(text)), "string", "toxic")
            .select("toxic", F.explode("has").alias("term")).groupBy("term")
-           .agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).where(F.col("a") + F.col("b") >= min_rows))
-
-    def part(x, n, share):
-        return F.when(x > 0, x * F.log(x / (n * share))).otherwise(0.0)
-    share = (F.col("a") + F.col("b")) / (n1 + n0)
-    gain = (part(F.col("a"), n1, share) + part(F.col("b"), n0, share)
-            + part(n1 - F.col("a"), n1, 1 - share) + part(n0 - F.col("b"), n0, 1 - share))
-    top = (per.where(F.col("a") * n0 > F.col("b") * n1).withColumn("gain", gain).where("gain > 6")
-           .orderBy(F.desc("gain"), "term").limit(max_terms)).collect()                # at most max_terms
-    terms = sorted(r["term"] for r in top if r["gain"] >= min_gain * top[0]["gain"])
-    if not terms:
-        return Model([], np.zeros(0), [({}, 1)] * n1 + [({}, 0)] * n0, k, prior_weight)
-    # one row per term and the row count: bounded by the terms
-    df = {r["t"]: r["n"] for r in term_counts(docs, terms)
-          .select(F.explode(F.concat(F.array_distinct("has"), F.array(F.lit(-1)))).alias("t"))
-          .groupBy("t").agg(F.count("*").alias("n")).collect()}
-    idf = np.array([math.log((1 + df[-1]) / (1 + df.get(i, 0))) + 1 for i in range(len(terms))])
-    rows = term_counts(examples, terms, "doc_id", "toxic").orderBy("doc_id").collect()      # at most max_examples short lists
-    return Model(terms, idf, [(Counter(r["has"]), r["toxic"]) for r in rows], k, prior_weight)
+           .agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))).toArrow().sort_by("term") if n1 and n0 else None
+    if per is None or not per.num_rows:
+        return Model(Terms([]), np.zeros(0), [(none, none, y) for y, n in sizes.items() for _ in range(n)], k, prior_weight)
+    terms = Terms(per["term"].to_pylist())
+    sent = docs.sparkSession.sparkContext.broadcast(terms)
+    df = corpus_counts(docs, sent, per.num_rows)
+    weights = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * relevance(per["a"].to_numpy(), per["b"].to_numpy(), n1, n0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = sent.value.table()
+        for batch in batches:
+            got = [words.counts(t.as_py()) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array([t.astype(np.int32).tobytes() for t, _ in got], pa.binary()),
+                 pa.array([n.astype(np.int32).tobytes() for _, n in got], pa.binary())], ["doc_id", "toxic", "t", "n"])
+
+    src = examples.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic", "text")
+    rows = src.mapInArrow(run, "doc_id long, toxic int, t binary, n binary").toArrow().sort_by("doc_id")
+    held = [(np.frombuffer(t.as_py(), np.int32), np.frombuffer(n.as_py(), np.int32), y.as_py())
+            for t, n, y in zip(rows["t"], rows["n"], rows["toxic"])]
+    return Model(terms, weights, held, k, prior_weight)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """``doc_id, score, predicted`` of every text."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)       # max_examples x max_terms at most
+    sent = docs.sparkSession.sparkContext.broadcast(model)       # the terms of max_examples texts at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in batches:
-            got = [model.score(t.as_py() or "") for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.float64())], ["doc_id", "score"])
+            for first in range(0, batch.num_rows, 128):
+                some = batch.slice(first, 128)
+                got = model.scores([t.as_py() or "" for t in some.column(1)])
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(got, pa.float64())], ["doc_id", "score"])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))

@@ -48,3 +48,24 @@ def test_scores(spark):
     assert {r["score"] for r in score(docs, fit(docs, labels.limit(0))).collect()} == {0.5}
     one = fit(docs, labels.where("toxic = 0"))
     assert all(r["predicted"] == 0 for r in score(docs, one).collect())
+
+
+def test_all_terms_of_the_examples_count(spark):
+    from spark_ledger.llm.toxicity import fit, score
+    rnd, rows = random.Random(5), []
+    plain = [f"w{chr(97 + i)}{chr(97 + j)}x" for i in range(20) for j in range(10)]
+    loud = [f"{chr(97 + i)}{chr(97 + j)}bozo" for i in range(10) for j in range(20)]     # many frequent insults
+    for i in range(1200):
+        toxic = int(i % 3 == 0)
+        words = rnd.choices(plain, k=20)
+        if toxic:
+            words[3:3] = ["idiot"] + rnd.choices(loud, k=5) if i % 60 else ["zqrvk"]      # a rare one, 20 texts
+        rows.append((i, " ".join(words), toxic))
+    rows += [(5000 + i, " ".join(rnd.choices(plain, k=20) + ["zqrvk"]), None) for i in range(20)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = fit(docs, spark.createDataFrame([(a, c) for a, _, c in rows if c is not None], "doc_id long, toxic int"))
+    assert {"zqrvk", "idiot", *plain} <= set(model.terms)
+    got = {r["doc_id"]: r for r in score(docs, model).collect()}
+    assert all(got[5000 + i]["predicted"] == 1 for i in range(20))
+    clean = model.evidence(rows[1][1])
+    assert len(clean[1]) == 15 and clean[0] < .5                                       # clean texts have neighbours
