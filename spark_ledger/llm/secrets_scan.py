@@ -1,7 +1,8 @@
 """Secret scans: fixed patterns, and guess costs of credential-context values.
 
 The fixed patterns find assignments, access keys and long hexadecimal runs.
-The method adds values that stand behind a credential name: a dynamic programme
+The method adds values that stand behind an identifier with a credential name
+among its parts (``DB_PWD``, ``client_secret``, ``dbPassword``): a dynamic programme
 segments the value into known words, dates, repeats, keyboard walks and
 brute-force spans at the least total guess cost (log10 guesses); values that
 cost at least ``min_cost`` are secrets of kind ``guess``, unless a fixed pattern
@@ -27,8 +28,14 @@ KINDS = ("assign", "access", "hex", "guess")
 _ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-_CONTEXT = re.compile(r"""(?i:\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|credentials?|auth|bearer|private[_-]?key|pin))\b"""
-                      r"""["']?[ \t]{0,8}(?:[:=]|->)[ \t]{0,8}["']?([^\s"'`,;<>()\[\]{}|]{8,})""")
+# an identifier, what assigns, and the value behind it; plain space assigns after ``bearer`` only.  The
+# value is looked at, not taken, so that a name inside a value is met too
+_CONTEXT = re.compile(r"""(?<![\w-])([\w-]+)["']?(?:[ \t]{0,8}(?:[:=]|->)[ \t]{0,8}|(?<=(?i:bearer))([ \t]{1,8}))["']?"""
+                      r"""(?=([^\s"'`,;<>()\[\]{}|]{8,}))""")
+_NAME = re.compile(r"(?i:(?<![^\W_])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|credentials?|auth|bearer"
+                   r"|private[_-]?key|pin)(?![^\W_]))")
+_HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+_PROSE = re.compile(r"[^\W\d_][^\W\d_A-Z]*(?:-[^\W\d_A-Z]+)*|[A-Z]+")      # a word after ``bearer`` is no token
 
 #: words by how soon they are guessed; a caller may pass a longer list
 COMMON_WORDS = ("password 123456 qwerty admin welcome login letmein dragon master monkey sunshine princess football "
@@ -102,11 +109,18 @@ def find_spans(text: str, ranks: dict[str, int], min_cost: float) -> list[tuple[
     found += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 16]
     found += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
     fixed = list(found)
+    done = 0
     for m in _CONTEXT.finditer(text):
-        value = m[1].rstrip(".!?:")
-        a, b = m.start(1), m.start(1) + len(value)
-        if len(value) >= 8 and not any(s <= a and b <= e for s, _, e in fixed) and guess_cost(value, ranks)[0] >= min_cost:
+        a = m.start(3)
+        if a < done or not (_NAME.search(m[1]) or _NAME.search(_HUMP.sub("_", m[1]))):
+            continue
+        value = m[3].rstrip(".!?:")
+        b = a + len(value)
+        if len(value) < 8 or m[2] and _PROSE.fullmatch(value):
+            continue
+        if not any(s <= a and b <= e for s, _, e in fixed) and guess_cost(value, ranks)[0] >= min_cost:
             found.append((a, 3, b))
+            done = b
     return sorted(found)
 
 

@@ -128,6 +128,20 @@ def test_secret_scan(spark):
     assert scan(docs.limit(0)).count() == 0
 
 
+def test_secrets_behind_compound_names(spark):
+    from spark_ledger.llm.secrets_scan import redact
+    for_names = [("DB_PWD=", "x8Kq2mZ9vLp4"), ("DB_PASSWORD=", "p@ss!w0rdX9$kq"), ("AWS_SECRET_ACCESS_KEY=", "wJalrXUtnFEMI/K7MDENG"),
+                 ("client_secret: ", "z!9Qx$2mPk#7"), ("DB_PASSPHRASE=", "k9Xq2LwP0z"), ("private_key_id = ", "93Kf02mXq1"),
+                 ("Authorization: Bearer ", "eyJhbGciOiJIUzI1NiJ9.e30"), ("x-api-key: ", "z!9Qx$2mPk#7"), ("dbPassword -> ", "z!9Qx$2mPk#7"),
+                 ("note: my_pwd=", "x8Kq2mZ9vLp4"), ("_token->", "x8Kq2mZ9vLp4")]
+    plain = ["the bearer certificates were sold", "compass_needles: x8Kq2mZ9vLp4", "a_b_" * 20000, "pwd:" * 3000]
+    docs = table(spark, ["see " + a + b + " end" for a, b in for_names] + plain)
+    got = [r["text"] for r in redact(docs).orderBy("doc_id").collect()]
+    for (name, value), text in zip(for_names, got):
+        assert value not in text and "[SECRET]" in text and text.endswith(" end"), (name, text)
+    assert got[len(for_names):-1] == plain[:-1]
+
+
 def test_windows_are_functions_of_their_words():
     from spark_ledger.llm.words import windows
     rnd = np.random.default_rng(3)
