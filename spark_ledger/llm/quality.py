@@ -3,7 +3,11 @@
 Two multinomials over hashed word 1- and 2-grams are counted: a trusted target
 (documents labelled as good) and the raw corpus (every document).  A document's
 score is the mean over its n-grams of ``log p_target - log p_raw``; below
-``threshold`` it is rejected.  Everything is DataFrame functions: n-grams are
+``threshold`` it is rejected.  The target's smoothing shrinks that mean, so a
+second one is taken in which an n-gram counts by what it is expected to occur in
+the target: one expected a few times only (a clean word not seen yet) says little,
+one expected often and missing (junk) says all.  Below ``evidence_threshold`` a
+document is rejected too.  Everything is DataFrame functions: n-grams are
 hashed in the row, counted with map-side aggregation into ``buckets`` sums, and
 scored against the broadcast table of ``buckets`` weights, whose size does not
 depend on the corpus.
@@ -28,6 +32,8 @@ TARGET_ROWS = 20_000
 #: mean log ratio per n-gram under which a document is rejected; lenient, so that
 #: clean documents stay also where few rows are trusted
 THRESHOLD = -0.3
+#: pseudo-occurrences on both sides of the second ratio, and the mean that rejects
+EVIDENCE, EVIDENCE_THRESHOLD = 10.0, -0.12
 
 
 def words_of(text):
@@ -69,9 +75,10 @@ def grams_of(words, buckets: int):
 
 
 def ratio_weights(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS, target_rows: int = TARGET_ROWS) -> DataFrame:
-    """``bucket, w``: log ratio of target to raw corpus.  The target is smoothed by
-    ``buckets`` pseudo-counts in the raw corpus's proportions, so that few
-    trusted rows say little."""
+    """``bucket, w, v``: log ratio of target to raw corpus.  For ``w`` the target is
+    smoothed by ``buckets`` pseudo-counts in the raw corpus's proportions, so that
+    few trusted rows say little; ``v`` compares occurrences in the target with the
+    expected ones, ``EVIDENCE`` added to both."""
     some = (trusted_ids.select(F.col("doc_id").alias("_t")).where("_t is not null").distinct()
             .orderBy(F.xxhash64("_t"), "_t").limit(target_rows))
     grams = (docs.join(F.broadcast(some), F.col("doc_id") == F.col("_t"), "left")      # at most target_rows ids
@@ -81,13 +88,15 @@ def ratio_weights(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKET
     counts = cut_lineage(grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("t").alias("target")))
     total = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
     if not total["target"]:
-        return counts.select("bucket", F.lit(0.0).alias("w"))
+        return counts.select("bucket", F.lit(0.0).alias("w"), F.lit(0.0).alias("v"))
     share = F.col("raw") / F.lit(float(total["raw"]))
     return counts.select("bucket", (F.log((F.col("target") + buckets * share) / share)
-                                    - F.lit(math.log(total["target"] + buckets))).alias("w"))
+                                    - F.lit(math.log(total["target"] + buckets))).alias("w"),
+                         F.log((F.col("target") + EVIDENCE) / (float(total["target"]) * share + EVIDENCE)).alias("v"))
 
 
-def quality(docs: DataFrame, trusted_ids: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
+def quality(docs: DataFrame, trusted_ids: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS,
+            evidence_threshold: float = EVIDENCE_THRESHOLD) -> DataFrame:
     """Counts, ``score`` (null without words), ``base_failed`` and ``kept`` of
     every document; documents are told apart by a row key, not by their id."""
     weights = ratio_weights(docs, trusted_ids, buckets)
@@ -95,7 +104,8 @@ def quality(docs: DataFrame, trusted_ids: DataFrame, threshold: float = THRESHOL
     fields = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     scored = (d.select("_row", *fields, F.explode_outer(grams_of(F.col("_words"), buckets)).alias("bucket"))
               .join(F.broadcast(weights), "bucket", "left")                            # at most ``buckets`` rows
-              .groupBy("_row", *fields).agg(F.avg("w").alias("score")))
+              .groupBy("_row", *fields).agg(F.avg("w").alias("score"), F.avg("v").alias("_v")))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return (scored.drop("_row").withColumn("base_failed", failed)
-            .withColumn("kept", ~F.col("base_failed") & (F.coalesce("score", F.lit(0.0)) >= threshold)))
+            .withColumn("kept", ~F.col("base_failed") & (F.coalesce("score", F.lit(0.0)) >= threshold)
+                        & (F.coalesce("_v", F.lit(0.0)) >= evidence_threshold)).drop("_v"))

@@ -86,6 +86,18 @@ def test_quality_counts_and_scores(spark):
     assert {r["kept"] for r in quality(docs, trusted.limit(0)).where("not base_failed").collect()} == {True}
 
 
+def test_quality_rejects_junk_among_common_words(spark):
+    from spark_ledger.llm.quality import quality
+    rnd = random.Random(8)
+    good, junk = [f"good{i}" for i in range(30)], [f"junk{i}" for i in range(10)]
+    texts = [" ".join(rnd.choices(good, k=40)) for _ in range(400)]
+    texts += [" ".join(rnd.choices(good, k=20) + rnd.choices(junk, k=20)) for _ in range(60)]       # ids 400 to 459
+    texts += [" ".join(rnd.choices(good, k=20) + [f"new{j}x{i}" for i in range(20)]) for j in range(20)]     # clean, words not seen
+    got = {r["doc_id"]: r["kept"] for r in quality(table(spark, texts), spark.range(400).toDF("doc_id")).collect()}
+    assert not any(got[i] for i in range(400, 460))
+    assert all(got[i] for i in [*range(400), *range(460, 480)])
+
+
 def test_guess_cost_is_least_over_segmentations():
     from spark_ledger.llm.secrets_scan import COMMON_WORDS, guess_cost
     ranks = {w: i + 1 for i, w in reversed(list(enumerate(COMMON_WORDS)))}
