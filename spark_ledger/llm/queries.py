@@ -77,6 +77,12 @@ def op10_dac_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
 
 
+def op12_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spark_ledger.llm.lexicon import digests, encode_decode, fit
+    docs, path = documents(spark, sf_dir), vocabulary("word_bpe_49k.json")
+    return digests(encode_decode(docs, path, fit(docs, path)))
+
+
 def _query(run):
     @functools.wraps(run)
     def call(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +93,7 @@ def _query(run):
 
 QUERIES = {f.__name__: _query(f) for f in (
     op1_e8_lattice_dedup, op2_license_scan, op3_quality_rules, op4_secret_scan, op5_sentencepiece, op6_ngram_jaccard_join,
-    op7_substring_dedup, op8_best_fit_packing, op9_toxicity, op10_dac_tokens)}
+    op7_substring_dedup, op8_best_fit_packing, op9_toxicity, op10_dac_tokens, op12_transducer_bpe)}
 ORACLES: dict[str, str] = {
     "op1_e8_lattice_dedup": embedding_dedup.oracle_sql(),
     "op2_license_scan": licenses.oracle_sql(),
