@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spark_ledger.llm import embedding_dedup, licenses, ngram_join
+from spark_ledger.llm import collocations, embedding_dedup, licenses, ngram_join
 from spark_ledger.llm.common import documents, read_table, shared_path, ship_package
 
 TOKENIZER_DIR = None      # where the vocabulary files lie; None asks the installed package
@@ -83,6 +83,10 @@ def op12_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode_decode(docs, path, fit(docs, path)))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def _query(run):
     @functools.wraps(run)
     def call(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,9 +97,10 @@ def _query(run):
 
 QUERIES = {f.__name__: _query(f) for f in (
     op1_e8_lattice_dedup, op2_license_scan, op3_quality_rules, op4_secret_scan, op5_sentencepiece, op6_ngram_jaccard_join,
-    op7_substring_dedup, op8_best_fit_packing, op9_toxicity, op10_dac_tokens, op12_transducer_bpe)}
+    op7_substring_dedup, op8_best_fit_packing, op9_toxicity, op10_dac_tokens, op12_transducer_bpe, op13_collocations)}
 ORACLES: dict[str, str] = {
     "op1_e8_lattice_dedup": embedding_dedup.oracle_sql(),
     "op2_license_scan": licenses.oracle_sql(),
     "op6_ngram_jaccard_join": ngram_join.oracle_sql(),
+    "op13_collocations": collocations.oracle_sql(),
 }
