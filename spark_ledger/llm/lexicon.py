@@ -36,8 +36,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spark_ledger.llm.chunks import byte_alphabet, slices
+from spark_ledger.llm.common import cut_lineage
 
-MAX_WORDS = 131_072        # words of the lexicon, the most frequent ones
+MAX_WORDS = 131_072        # words of the lexicon at most, the most frequent ones
+SLICE_BYTES = 3_000_000    # text handled at a time
 LONG_WORD = 96             # symbols from which a word is merged with a heap of its own
 _NONE = np.int64(1) << 40  # rank of a pair that does not merge
 
@@ -291,7 +293,7 @@ def word_counts(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame
         cutter = _cutter(path)
         for batch in batches:
             texts = batch.column(0).cast(pa.string())
-            for first, n in slices(texts):
+            for first, n in slices(texts, SLICE_BYTES):
                 _, codes, start, count, words, _ = cutter.cut(texts.slice(first, n))
                 weight = np.bincount(codes, minlength=len(start))
                 coded = words.dictionary_encode()
@@ -314,8 +316,18 @@ def _layout(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(docs: DataFrame, path: str, max_words: int = MAX_WORDS) -> str:
-    """Count, compile and ship the lexicon; returns the name of its file."""
-    top = word_counts(docs, path).orderBy(F.desc("n"), "word").limit(max_words).select("word").collect()
+    """Count, compile and ship the lexicon; returns the name of its file.
+
+    Words are taken from a count on that keeps them within the bound; the count
+    comes from a histogram of some hundred rows, so the driver sees no others."""
+    counts = cut_lineage(word_counts(docs, path).withColumn("size", F.floor(F.log2("n") * 16).cast("int")))
+    taken, least = 0, None
+    for r in counts.groupBy("size").count().orderBy(F.desc("size")).collect():
+        taken += r["count"]
+        if taken > max_words:
+            break
+        least = r["size"]
+    top = counts.where(F.col("size") >= F.lit(least)).select("word").collect()
     words = sorted(r["word"].encode() for r in top)
     flat, lens = Merges(path).encode(np.frombuffer(b"".join(words), np.uint8), np.fromiter(map(len, words), np.int64, len(words)))
     file = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), f"lexicon-{uuid.uuid4().hex}.bin")
@@ -403,7 +415,7 @@ def encode_decode(docs: DataFrame, path: str, lexicon: str, id_col: str = "doc_i
         enc = _encoder(path, lexicon)
         for batch in batches:
             texts = batch.column(1).cast(pa.string())
-            for first, n in slices(texts):
+            for first, n in slices(texts, SLICE_BYTES):
                 flat, counts = enc.encode(texts.slice(first, n))
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([
