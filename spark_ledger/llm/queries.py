@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spark_ledger.llm import collocations, embedding_dedup, licenses, ngram_join
+from spark_ledger.llm import collocations, embedding_dedup, licenses, ngram_join, prefix_trie
 from spark_ledger.llm.common import documents, read_table, shared_path, ship_package
 
 TOKENIZER_DIR = None      # where the vocabulary files lie; None asks the installed package
@@ -77,6 +77,11 @@ def op10_dac_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spark_ledger.llm.prefix_trie import prefix_nodes
+    return prefix_nodes(read_table(spark, sf_dir, "conversations")).drop("turn_key")
+
+
 def op12_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spark_ledger.llm.lexicon import digests, encode_decode, fit
     docs, path = documents(spark, sf_dir), vocabulary("word_bpe_49k.json")
@@ -97,10 +102,11 @@ def _query(run):
 
 QUERIES = {f.__name__: _query(f) for f in (
     op1_e8_lattice_dedup, op2_license_scan, op3_quality_rules, op4_secret_scan, op5_sentencepiece, op6_ngram_jaccard_join,
-    op7_substring_dedup, op8_best_fit_packing, op9_toxicity, op10_dac_tokens, op12_transducer_bpe, op13_collocations)}
+    op7_substring_dedup, op8_best_fit_packing, op9_toxicity, op10_dac_tokens, op11_prefix_trie, op12_transducer_bpe, op13_collocations)}
 ORACLES: dict[str, str] = {
     "op1_e8_lattice_dedup": embedding_dedup.oracle_sql(),
     "op2_license_scan": licenses.oracle_sql(),
     "op6_ngram_jaccard_join": ngram_join.oracle_sql(),
+    "op11_prefix_trie": prefix_trie.oracle_sql(),
     "op13_collocations": collocations.oracle_sql(),
 }
