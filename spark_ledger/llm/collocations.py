@@ -11,7 +11,7 @@ neighbouring word pairs in hash buckets; a window is padded already behind the
 first pair whose bucket stays below ``min_count``, since no phrase that long can
 reach it.  Buckets only ever count too much, so every phrase with ``min_count``
 occurrences keeps its exact count.  The bucket table has at most ``2 **
-MAX_BITS`` entries whatever the input (one bit each when broadcast: 8 MB); on
+MAX_BITS`` entries whatever the input (one bit each when broadcast: 2 MB); on
 corpora that outgrow it fewer windows are shortened, and the results stay.
 
 Scores use exact decimals of 38 digits, enough for counts below 10^15.  Null
@@ -25,14 +25,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spark_ledger.llm.chunks import slices
 from spark_ledger.llm.common import cut_lineage
-from spark_ledger.llm.words import WordHashes, mix
+from spark_ledger.llm.words import mix
 
-MAX_BITS = 26              # the pair filter has at most 2 ** MAX_BITS buckets
+MAX_BITS = 24              # the pair filter has at most 2 ** MAX_BITS buckets
+SLICE_BYTES = 3_000_000    # text handled at a time
 BLOCK = 1 << 16            # buckets that travel together
 SALTS = 64                 # parts of a language in the first step of its ranking
 
@@ -70,15 +72,19 @@ class Words:
         self.joined[:-1] = (np.diff(piece) == 0) & (np.diff(self.text) == 0)
 
 
+def hashed(texts: list[str]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, texts), np.uint64, len(texts))
+
+
 class Pairs:
     """Bucket of each neighbouring pair of words within its language."""
 
     def __init__(self, bits: int):
-        self.bits, self.words, self.langs = bits, WordHashes(), WordHashes()
+        self.bits = bits
 
     def buckets(self, words: Words, lang_codes: np.ndarray, langs: list[str], at: np.ndarray) -> np.ndarray:
-        h = self.words.of([w.encode() for w in words.distinct.to_pylist()])[words.code]
-        of_lang = self.langs.of([x.encode() for x in langs])[lang_codes[words.text[at]]]
+        h = hashed(words.distinct.to_pylist())[words.code]
+        of_lang = hashed(langs)[lang_codes[words.text[at]]]
         return (mix(mix(h[at] + of_lang) * _ODD + h[at + 1]) >> np.uint64(64 - self.bits)).astype(np.int64)
 
 
@@ -86,7 +92,7 @@ def _batches(batches: Iterator[pa.RecordBatch]):
     """``(texts, lang codes, langs)`` by slices of the batches."""
     for batch in batches:
         texts = batch.column(1).cast(pa.string())
-        for first, n in slices(texts):
+        for first, n in slices(texts, SLICE_BYTES):
             lang = batch.column(0).cast(pa.string()).slice(first, n).dictionary_encode()
             yield texts.slice(first, n), lang.indices.to_numpy(), lang.dictionary.to_pylist()
 
@@ -226,15 +232,17 @@ def oracle_sql(max_words: int = 3, min_count: int = 10, overlap: int = 50, keep:
 WITH lines AS (SELECT COALESCE(lang, 'und') AS lang,
          unnest(string_split_regex(translate(COALESCE(text, ''), '{upper}', '{upper.lower()}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
 pieces AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM lines),
-f AS (SELECT lang, words, phrase, COUNT(*) AS f FROM ({grams}) GROUP BY ALL),
+f AS MATERIALIZED (SELECT lang, words, phrase, COUNT(*) AS f FROM ({grams}) GROUP BY ALL),
 n AS (SELECT lang, SUM(f) AS n FROM f WHERE words = 1 GROUP BY lang),
 cand AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE words > 1 AND f >= {min_count}),
-cuts AS (SELECT *, unnest(range(1, words)) AS k FROM cand),
-scored AS (SELECT c.*, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
-  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
-  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')),
+cuts AS (SELECT *, lang || chr(9) || array_to_string(w[1:k], ' ') AS head, lang || chr(9) || array_to_string(w[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM cand)),
+tally AS MATERIALIZED (SELECT lang || chr(9) || phrase AS part, f AS n FROM f),
+heads AS (SELECT cuts.*, tally.n AS l FROM cuts JOIN tally ON head = part),
+scored AS (SELECT heads.*, tally.n AS r, (1000000::HUGEINT * a * a) // (l::HUGEINT * tally.n) AS score FROM heads JOIN tally ON rest = part),
 worst AS (SELECT * FROM scored QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
-stay AS (SELECT * FROM worst s WHERE NOT EXISTS (SELECT 1 FROM cand b WHERE b.lang = s.lang AND b.words > s.words
-  AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' ') AND 100 * b.a >= {overlap} * s.a)),
+inner_at AS (SELECT lang, a, words, w, k, unnest(range(1, words - k + 2)) AS i FROM (SELECT *, unnest(range(2, words)) AS k FROM cand)),
+longer AS (SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, MAX(a) AS most FROM inner_at GROUP BY ALL),
+stay AS (SELECT s.* FROM worst s LEFT JOIN longer b USING (lang, phrase) WHERE b.most IS NULL OR 100 * b.most < {overlap} * s.a),
 ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM stay)
 SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked JOIN n USING (lang) WHERE rank <= {keep}"""
