@@ -30,16 +30,25 @@ DATE_FORMS = {
 }
 
 
-def flexible_date(c) -> Column:
-    """A full date in ISO form or one of ``DATE_FORMS``; anything else (a bare
-    year, an impossible day) is null."""
-    s = F.translate(F.regexp_replace(F.trim(_c(c).cast("string")), r"[ T]\d{1,2}:\d{2}.*$", ""), "/ ", "--")
+def _other_date(s: Column) -> Column:
+    s = F.translate(F.regexp_replace(s, r"[ T]\d{1,2}:\d{2}.*$", ""), "/ ", "--")
     for shape, form in DATE_FORMS.items():
         s = F.regexp_replace(s, shape, form)
     s = F.when(s.rlike(r"^\d{4}-\w{1,3}-\d{1,2}$"), s)
     return F.coalesce(s.try_cast("date"), F.try_to_date(F.initcap(s), "yyyy-MMM-d"))
 
 
+def flexible_date(c) -> Column:
+    """A full date in ISO form or one of ``DATE_FORMS``; anything else (a bare
+    year, an impossible day) is null.  ISO and month/day/year texts, nearly all
+    there are, are cast at once; the other forms are tried only for the rest."""
+    s = F.trim(_c(c).cast("string"))
+    iso = (F.length(s) == 10) & (F.substring(s, 5, 1) == "-") & (F.substring(s, 8, 1) == "-")
+    parts = F.split(s, "/")
+    slashed = (F.size(parts) == 3) & (F.length(F.try_element_at(parts, F.lit(3))) == 4) & (F.length(F.try_element_at(parts, F.lit(1))) <= 2)
+    return F.when(iso, s.try_cast("date")).when(slashed, F.try_to_date(s, "M/d/yyyy")).otherwise(F.when(s != "", _other_date(s)))
+
+
 def date_from_filename(path) -> Column:
     """Date in a file name: YYYY-MM-DD, then MM-DD-YYYY, then YYYYMMDD."""
     name = F.regexp_extract(_c(path), "([^/]*)$", 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spark_ledger.functions import index_to_yyyymm, yyyymm_to_index
-from spark_ledger.operators.common import keep_first
+from spark_ledger.operators.common import require_columns
 
 
 def target_from_transactions(txns: DataFrame, date_col: str = "date") -> Column:
@@ -16,19 +16,19 @@ def target_from_transactions(txns: DataFrame, date_col: str = "date") -> Column:
 
 
 def budget_roll_forward(budgets: DataFrame, target) -> DataFrame:
-    """J-16: per category, fill months missing between explicit budget months
+    """J-16, H-5: per category, fill months missing between explicit budget months
     and after the last one up to ``target`` (yyyymm, int or Column) with the
     last known amount.  Categories with no month <= target get nothing; rows
-    after the target are kept; duplicates keep the last row (by ``row_idx``
-    when present).
+    after the target are kept; of several rows of one month the last by ``row_idx`` counts, for the month
+    itself and for the months filled from it (without ``row_idx`` the largest).
 
     A ``lead`` over each category's months gives the next explicit month;
     the gap is one ``explode(sequence)``.  Windows are per category and hold
     one row per budget month."""
-    b = budgets.select(F.trim(F.col("parent_category").cast("string")).alias("parent_category"),
-                       F.col("yyyymm").cast("int").alias("yyyymm"),
-                       F.col("budget_amount").cast("double").alias("budget_amount"),
-                       *([F.col("row_idx")] if "row_idx" in budgets.columns else []))
+    require_columns(budgets, ("parent_category", "yyyymm", "budget_amount"), "budgets")
+    order = F.col("row_idx") if "row_idx" in budgets.columns else F.col("budget_amount")
+    b = budgets.groupBy(F.trim(F.col("parent_category").cast("string")).alias("parent_category"), F.col("yyyymm").cast("int").alias("yyyymm")).agg(
+        F.max_by(F.col("budget_amount").cast("double"), order).alias("budget_amount"))
     tgt = target if isinstance(target, Column) else F.lit(int(target))
     le = b.filter(F.col("yyyymm") <= tgt).withColumn("__i", yyyymm_to_index(F.col("yyyymm")))
     w = Window.partitionBy("parent_category").orderBy("__i")
@@ -37,12 +37,7 @@ def budget_roll_forward(budgets: DataFrame, target) -> DataFrame:
     fill = F.when(last >= F.col("__i") + 1, F.sequence(F.col("__i") + 1, last)).otherwise(F.array().cast("array<int>"))
     adds = le.select("parent_category", F.explode(fill).alias("__m"), "budget_amount").select(
         "parent_category", index_to_yyyymm(F.col("__m")).alias("yyyymm"), "budget_amount")
-    orig = b
-    if "row_idx" in b.columns:
-        orig = keep_first(b, ["parent_category", "yyyymm"], [F.col("row_idx").desc()]).drop("row_idx")
-    else:
-        orig = b.groupBy("parent_category", "yyyymm").agg(F.max("budget_amount").alias("budget_amount"))
-    return orig.unionByName(adds)
+    return b.unionByName(adds)
 
 
 def budget_to_date(txns: DataFrame, budgets: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -79,6 +79,12 @@ def month_dim(calendar: DataFrame) -> DataFrame:
     return calendar.select(F.col("month_start").alias("month")).distinct()
 
 
+def month_date(month) -> Column:
+    """First day of a 'YYYY-MM' text month (T-26: rollups name months by text, the
+    model joins them by date)."""
+    return F.to_date(F.concat(F.col(month) if isinstance(month, str) else month, F.lit("-01")), "yyyy-MM-dd")
+
+
 def month_dim_columns(month: Column) -> list[Column]:
     """Model columns on month_dim: MonthStart, yyyymm, MonthEnd, Year, Quarter Year."""
     return [

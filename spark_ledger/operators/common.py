@@ -41,6 +41,19 @@ def keep_first(df: DataFrame, keys: list, order: list[Column], rn_col: str | Non
     return out if rn_col else out.drop(name)
 
 
+def first_n(df: DataFrame, keys: list, order: list[Column], n: int) -> DataFrame:
+    """G-5: the first ``n`` rows of each key under ``order`` (up to a thousand are
+    cut per map task before the shuffle)."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
+
+
+def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """H-2 / H-3: the first ``n`` rows of the whole frame (TakeOrdered: each task
+    sends at most ``n`` rows).  ``order`` should end in a key, so ties are defined."""
+    return df.orderBy(*order).limit(n)
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from spark_ledger.functions import desc_norm, normalize_merchant, txn_id_sha1, txn_id_sha256
 from spark_ledger.operators.common import first_present, keep_first
+from spark_ledger.operators.ranking import numbered
 
 DESC_CANDIDATES = ("clean_description", "description", "memo", "payee", "name")
 ACCOUNT_CANDIDATES = ("account_id", "account", "account_name", "institution", "card_last4",
@@ -104,40 +105,15 @@ def drop_pending_in_file(txns: DataFrame, file_col: str = "source_file") -> Data
     return t.filter(F.col("__p") == 0).unionByName(pending).drop("__p")
 
 
-SEQ_CHUNK_ROWS = 1_000_000   # rows numbered by one window partition at most
-
-
-def sequence_within(df: DataFrame, keys: list[str], order_col: str, name: str, base: int = 1) -> DataFrame:
-    """Row number (starting at ``base``) within each ``keys`` group in
-    ``order_col`` order, without pulling a whole group into one task when
-    the order column is numeric (a row index):
-
-    1. rows are bucketed into chunks of ``SEQ_CHUNK_ROWS`` consecutive
-       order values; counts per (group, chunk) are a partial aggregate;
-    2. a running sum over those few counts gives each chunk's offset;
-    3. rows are numbered inside their chunk and shifted by the offset.
-
-    Exact, and no window partition holds more than one chunk.  Non-numeric
-    order columns fall back to a single window per group."""
-    numeric = dict(df.dtypes).get(order_col) in ("int", "bigint", "smallint", "tinyint")
-    if not numeric:
-        w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc_nulls_last())
-        return df.withColumn(name, (F.row_number().over(w) + (base - 1)).cast("long"))
-    chunk = F.floor(F.col(order_col) / SEQ_CHUNK_ROWS)
-    d = df.withColumn("__chunk", chunk)
-    counts = d.groupBy(*keys, "__chunk").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*keys).orderBy(F.col("__chunk").asc_nulls_last()) \
-                   .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-    inner = Window.partitionBy(*keys, "__chunk").orderBy(F.col(order_col).asc_nulls_last())
-    # null-safe equality: null keys form a group, as in a window
-    o = offsets.select(*[F.col(k).alias(f"__o_{k}") for k in keys], F.col("__chunk").alias("__o_chunk"), "__off")
-    cond = F.col("__chunk").eqNullSafe(F.col("__o_chunk"))
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__o_{k}"))
-    d = d.join(o, cond, "left").drop(*[f"__o_{k}" for k in keys], "__o_chunk")
-    return (d.withColumn(name, (F.col("__off") + F.row_number().over(inner) + (base - 1)).cast("long"))
-             .drop("__chunk", "__off"))
+def sequence_within(df: DataFrame, keys: list[str], order_col, name: str, base: int = 1) -> DataFrame:
+    """Row number (starting at ``base``) within each ``keys`` group, null keys
+    included, by one order column or several; a column of any type.
+
+    Numbered in ranges of the order (``operators.ranking``), so a group that
+    holds a third of all rows is spread over many tasks.  Rows that are equal in
+    all order columns may come in any order."""
+    columns = [order_col] if isinstance(order_col, str) else list(order_col)
+    return numbered(df, keys, [F.col(c).asc_nulls_last() for c in columns], name, base)
 
 
 def assign_txn_ids(df: DataFrame, order_col: str = "row_idx", file_col: str = "source_file") -> DataFrame:
@@ -150,10 +126,11 @@ def assign_txn_ids(df: DataFrame, order_col: str = "row_idx", file_col: str = "s
     return df.withColumn("txn_id", txn_id_sha256("date", "account_id", "amount_cents", "merchant_norm", "dup_seq"))
 
 
-def assign_txn_ids_v1(df: DataFrame, order_col: str = "row_idx") -> DataFrame:
-    """C-3: 0-based dup_seq and sha1 id over (date, account, merchant, cents)."""
+def assign_txn_ids_v1(df: DataFrame, order_col: str = "row_idx", file_col: str = "source_file") -> DataFrame:
+    """C-3: 0-based dup_seq and sha1 id over (date, account, merchant, cents);
+    rows of several files come in file order, then in row order."""
     keys = ["date", "account_id", "merchant_norm", "amount_cents"]
-    df = sequence_within(df, keys, order_col, "dup_seq", base=0)
+    df = sequence_within(df, keys, [*(c for c in (file_col,) if c in df.columns), order_col], "dup_seq", base=0)
     return df.withColumn("txn_id", txn_id_sha1("date", "account_id", "merchant_norm", "amount_cents", "dup_seq"))
 
 
@@ -166,10 +143,11 @@ def batch_key(df: DataFrame) -> DataFrame:
 BATCH_KEY = ["date", "account_id", "_k_amount", "_k_merchant"]
 
 
-def dedupe_batch(df: DataFrame, order_col: str = "row_idx") -> DataFrame:
-    """C-4: keep the first row of each batch key (row order)."""
-    k = batch_key(df)
-    return keep_first(k, BATCH_KEY, [F.col(order_col).asc_nulls_last()]).drop("_k_amount", "_k_merchant")
+def dedupe_batch(df: DataFrame, order_col: str | list[str] = "row_idx") -> DataFrame:
+    """C-4: keep the first row of each batch key (row order; of several files, file
+    order first)."""
+    order = [order_col] if isinstance(order_col, str) else order_col
+    return keep_first(batch_key(df), BATCH_KEY, [F.col(c).asc_nulls_last() for c in order]).drop("_k_amount", "_k_merchant")
 
 
 def anti_batch_dedupe(batch: DataFrame, existing: DataFrame) -> DataFrame:
@@ -180,8 +158,9 @@ def anti_batch_dedupe(batch: DataFrame, existing: DataFrame) -> DataFrame:
     return batch_key(batch).join(ek, BATCH_KEY, "left_anti").drop("_k_amount", "_k_merchant")
 
 
-def newest_file_wins(df: DataFrame, keys=("as_of_date", "account_id", "symbol"),
-                     mtime_col: str = "file_mtime", path_col: str = "source_file") -> DataFrame:
-    """C-9: per key keep the row from the newest file (ties: larger path)."""
+def newest_file_wins(df: DataFrame, keys=("as_of_date", "account_id", "symbol"), mtime_col: str = "file_mtime",
+                     path_col: str = "source_file", row_col: str | None = None) -> DataFrame:
+    """C-9: per key keep the row from the newest file (ties: larger path, then
+    the first row by ``row_col``)."""
     order = [F.col(mtime_col).desc_nulls_last(), F.col(path_col).desc_nulls_last()]
-    return keep_first(df, list(keys), order)
+    return keep_first(df, list(keys), order + ([F.col(row_col).asc_nulls_last()] if row_col else []))

@@ -95,6 +95,48 @@ def retirement_table(years: DataFrame, cashflows: DataFrame, div_by_year: DataFr
                     F.col("outflows"), F.col("end_balance"))
 
 
+def return_measures(years: DataFrame, cashflows: DataFrame, div_by_year: DataFrame, globals_df: DataFrame) -> DataFrame:
+    """K13, K14, K16 per year: dividends, inflows, outflows, net flows (blank only
+    where all operands are), returns and the net dividend yield."""
+    f = years.join(flows_by_year(cashflows, div_by_year), "year", "left")
+    real = F.coalesce(global_value(globals_df, "real_return_rate"), F.lit(0.0))
+    f = f.withColumn("real", real).withColumn("nominal_total_return", nominal_return(globals_df))
+    f = f.withColumn("dividend_yield", divide(F.col("dividends"), F.col("portfolio_value")))
+
+    def total(*columns):
+        known = F.coalesce(*columns)
+        return F.when(known.isNotNull(), sum((F.coalesce(F.col(c), F.lit(0.0)) for c in columns), F.lit(0.0)))
+    ex = 1 + F.coalesce("dividend_yield", F.lit(0.0))
+    return f.select("year", F.col("dividends").alias("dividends_net"), "inflows", (-F.col("outflows")).alias("outflows"),
+                    total("inflows", "outflows").alias("net_flow"), total("inflows", "outflows", "dividends").alias("net_flow_with_dividends"),
+                    "nominal_total_return", "dividend_yield", ((1 + F.col("real")) / ex - 1).alias("return_ex_div_real"),
+                    ((1 + F.col("nominal_total_return")) / ex - 1).alias("return_ex_div_nominal"))
+
+
+# The TypeDim members and their sort keys.
+TYPE_DIM = [("Beg Balance", 1), ("Inflows", 2), ("Dividends", 3), ("Outflows", 4), ("End Balance", 5)]
+
+
+def type_dim(spark: SparkSession) -> DataFrame:
+    """H-9: the literal dimension of amount types."""
+    return spark.createDataFrame(TYPE_DIM, "type string, sort_key int")
+
+
+def amount_by_type(years: DataFrame, cashflows: DataFrame, div_by_year: DataFrame, start_balance: Column,
+                   globals_df: DataFrame, today_year: int) -> DataFrame:
+    """K19: ``year, type, sort_key, amount`` for every member of TypeDim: a union of
+    typed series (signed flows, net dividends, balances), joined to the dimension."""
+    table = retirement_table(years, cashflows, div_by_year, start_balance, globals_df, today_year)
+    column = {t: t.lower().replace(" ", "_") for t, _ in TYPE_DIM}
+    series = F.array(*(F.struct(F.lit(t).alias("type"), F.col(c).cast("double").alias("amount")) for t, c in column.items()))
+    return table.select("year", F.inline(series)).join(type_dim(years.sparkSession), "type")
+
+
+def type_pivot(amounts: DataFrame) -> DataFrame:
+    """L-11 / F-11: the typed series as one row per year, one column per type."""
+    return amounts.groupBy("year").pivot("type", [t for t, _ in TYPE_DIM]).agg(F.sum("amount"))
+
+
 def withdrawal_rates(table: DataFrame) -> DataFrame:
     """Avg Withdrawal Rate (Weighted) and Initial Withdrawal Rate over years
     with outflows and a positive beginning balance (one row, one pass:

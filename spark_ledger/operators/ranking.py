@@ -16,20 +16,32 @@ from pyspark.sql import functions as F
 
 from spark_ledger.session import cut_lineage
 
-#: a total: its input, the aggregate, how two parts combine, and its value over nothing
-Total = tuple[Column, Callable[[Column], Column], Callable[[Column, Column], Column], object]
+#: a total: its input, the aggregate, and how two parts combine (either may be null: no rows)
+Total = tuple[Column, Callable[[Column], Column], Callable[[Column, Column], Column]]
+
+
+def _either(join: Callable[[Column, Column], Column], nothing: int) -> Callable[[Column, Column], Column]:
+    return lambda a, b: join(F.coalesce(a, F.lit(nothing)), F.coalesce(b, F.lit(nothing)))
 
 
 def sums(value: Column) -> Total:
-    return value, F.sum, lambda a, b: a + b, 0
+    """0 over no rows."""
+    return value, F.sum, _either(lambda a, b: a + b, 0)
 
 
 def xors(value: Column) -> Total:
-    return value, F.bit_xor, lambda a, b: a.bitwiseXOR(b), 0
+    """0 over no rows."""
+    return value, F.bit_xor, _either(lambda a, b: a.bitwiseXOR(b), 0)
+
+
+def largest(value: Column) -> Total:
+    """Null over no rows; nulls are passed over."""
+    return value, F.max, F.greatest
 
 
-def running(df: DataFrame, group: list[str], order: list[Column], totals: dict[str, Total]) -> DataFrame:
-    """Add each total over the rows of the group up to this one, itself included.
+def running(df: DataFrame, group: list[str], order: list[Column], totals: dict[str, Total], inclusive: bool = True) -> DataFrame:
+    """Add each total over the rows of the group up to this one, itself included
+    unless ``inclusive`` is false.
 
     ``order`` must be total within a group where the result depends on it; null
     group keys form groups, as in a window."""
@@ -39,7 +51,7 @@ def running(df: DataFrame, group: list[str], order: list[Column], totals: dict[s
     for n in names:
         parts = parts.withColumn(f"__v_{n}", totals[n][0])
     parts = cut_lineage(parts.repartitionByRange("__g", *order).withColumn("__part", F.spark_partition_id()))
-    inside = Window.partitionBy("__g", "__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("__g", "__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     before = Window.partitionBy("__g").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     sub = parts.groupBy("__g", "__part").agg(*(totals[n][1](f"__v_{n}").alias(f"__t_{n}") for n in names))
     sub = sub.select("__g", "__part", F.lag("__part").over(Window.partitionBy("__g").orderBy("__part")).alias("__earlier"),
@@ -49,7 +61,7 @@ def running(df: DataFrame, group: list[str], order: list[Column], totals: dict[s
         parts = parts.withColumn(f"__i_{n}", totals[n][1](f"__v_{n}").over(inside))
     out = parts.join(sub, ["__g", "__part"], "left")
     keep = [F.col(c) for c in df.columns if c not in names]
-    return out.select(*keep, *(totals[n][2](F.col(f"__i_{n}"), F.coalesce(F.col(f"__o_{n}"), F.lit(totals[n][3]))).alias(n) for n in names))
+    return out.select(*keep, *(totals[n][2](F.col(f"__i_{n}"), F.col(f"__o_{n}")).alias(n) for n in names))
 
 
 def numbered(df: DataFrame, group: list[str], order: list[Column], name: str, base: int = 1) -> DataFrame:

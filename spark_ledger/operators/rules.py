@@ -4,8 +4,8 @@ override > rule > base categorization (J-2) and the override diagnostic (J-19).
 Rules and overrides are user configuration.  ``method="compiled"`` reads them
 on the driver and compiles them into one ``CASE WHEN`` chain, so matching is a
 map-only projection without join or shuffle.  ``method="join"`` keeps them
-distributed: the distinct descriptions are matched against the rule table and
-the hits joined back by description.  Both take any number of rules and give
+distributed: an index over q-grams (``operators.text_match``) proposes pairs of
+distinct descriptions and patterns, checked hits are joined back by description.  Both take any number of rules and give
 the same rows; the caller chooses, nothing depends on the table's size.
 """
 
@@ -17,6 +17,7 @@ from spark_ledger.functions import normalize_merchant, parse_bool
 from spark_ledger.functions.flags import flexible_date
 from spark_ledger.functions.money import parse_money
 from spark_ledger.operators.identity import DESC_CANDIDATES
+from spark_ledger.operators.text_match import match_texts
 
 HELPER_COLS = ("desc_norm", "amount_key", "account_key", "date_key", "dupe_key", "rn")
 
@@ -148,26 +149,21 @@ def _hit(r) -> Column:
 
 def _rules_by_join(df: DataFrame, prepared: DataFrame) -> DataFrame:
     """Best rule per distinct description, joined back by the description."""
-    r = prepared.select([F.col(c).alias("__r_" + c) for c in prepared.columns])
-    desc, pat = F.col("__desc_src"), F.col("__r_pattern")
-    cond = (((F.col("__r_match_type") == "regex") & F.regexp_like(desc, pat))
-            | ((F.col("__r_match_type") == "contains") & desc.contains(pat)))
-    rank = F.struct("__r_prio", -F.length("__r_pattern"), "__r_category", "__r_pattern", "__r_subscription")
-    hit = F.struct(F.col("__r_category").alias("category"), F.col("__r_subscription").alias("subscription"))
-    best = (df.select("__desc_src").distinct().join(r, cond)
-            .groupBy("__desc_src").agg(F.min_by(hit, rank).alias("__rule_hit")))
-    return df.join(best, "__desc_src", "left")
+    patterns = prepared.withColumnRenamed("match_type", "kind").withColumn("pattern", F.col("pattern").cast("string"))
+    found = match_texts(df.select("__desc_src").distinct(), "__desc_src", patterns)
+    rank = F.struct("p.prio", -F.length("p.pattern"), "p.category", "p.pattern", "p.subscription")
+    hit = F.struct(F.col("p.category").alias("category"), F.col("p.subscription").alias("subscription"))
+    return df.join(found.groupBy("__desc_src").agg(F.min_by(hit, rank).alias("__rule_hit")), "__desc_src", "left")
 
 
 def _overrides_by_join(df: DataFrame, active: DataFrame) -> DataFrame:
     """Overrides whose pattern fits, per distinct description and in their
     order; each row takes the first one whose date and amount fit too."""
-    o = active.select([F.col(c).alias("__o_" + c) for c in active.columns])
-    entry = F.struct(F.col("__o_category").isNull().alias("last"), F.col("__o_category").alias("category"),
-                     F.col("__o_subscription").alias("subscription"), F.col("__o_date").alias("date"),
-                     F.col("__o_amount").alias("amount"))
-    fits = (df.select("__desc_src").distinct().join(o, F.regexp_like(F.col("__desc_src"), F.col("__o_description_regex")))
-            .groupBy("__desc_src").agg(F.sort_array(F.collect_list(entry)).alias("__ovs")))
+    patterns = active.withColumnRenamed("description_regex", "pattern").withColumn("kind", F.lit("regex"))
+    found = match_texts(df.select("__desc_src").distinct(), "__desc_src", patterns)
+    entry = F.struct(F.col("p.category").isNull().alias("last"), F.col("p.category").alias("category"),
+                     F.col("p.subscription").alias("subscription"), F.col("p.date").alias("date"), F.col("p.amount").alias("amount"))
+    fits = found.groupBy("__desc_src").agg(F.sort_array(F.collect_list(entry)).alias("__ovs"))
 
     def ok(e):
         cond = F.lit(True)

@@ -6,10 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from spark_ledger.functions import normalize_merchant_v1
-from spark_ledger.operators.common import keep_first
 from spark_ledger.operators import identity, upsert
 from spark_ledger.plans.registry import register
-from spark_ledger.plans.sql_snippets import merchant_norm_sql
+from spark_ledger.plans.sql_snippets import first_match_ctes, merchant_norm_sql
 from spark_ledger.sources.fixtures import Tables, with_clause
 
 TXN_COLS = ["txn_id", "date", "account_id", "amount_cents", "amount", "description", "category", "memo", "tags",
@@ -21,18 +20,22 @@ def _orderkey(c="txn_id"):
 
 
 def _target_staging(t: Tables):
-    """Target: transactions of even orders.  Staging: orders divisible by 3,
-    re-categorized so an update is visible."""
+    """Every transaction takes part.  Target: those that are settled.  Staging:
+    two rows for each id, in row order ``row_idx``: the first with the category
+    'early' and, for the last digit 5 and more of the amount, a later 'late'."""
     tx = t.transactions
-    target = tx.filter(_orderkey() % 2 == 0)
-    staging = tx.filter(_orderkey() % 3 == 0).withColumn("category", F.lit("staged"))
+    target = tx.filter(~identity.is_orig_co())
+    late = F.abs(F.col("amount_cents")) % 10 >= 5
+    staging = tx.withColumn("row_idx", F.lit(1)).withColumn("category", F.lit("early")).unionByName(
+        tx.filter(late).withColumn("row_idx", F.lit(2)).withColumn("category", F.lit("late")))
     return target, staging
 
 
 TS_SQL = with_clause("transactions") + """,
-tgt AS (SELECT * FROM transactions WHERE CAST(split_part(txn_id, '-', 1) AS BIGINT) % 2 = 0),
-stg AS (SELECT txn_id, date, account_id, amount_cents, amount, description, 'staged' AS category, memo, tags, is_transfer
-        FROM transactions WHERE CAST(split_part(txn_id, '-', 1) AS BIGINT) % 3 = 0)"""
+tgt AS (SELECT * FROM transactions WHERE NOT contains(UPPER(description), 'ORIG CO')),
+labelled AS (SELECT *, unnest(CASE WHEN ABS(amount_cents) % 10 >= 5 THEN ['early', 'late'] ELSE ['early'] END) AS label FROM transactions),
+stg AS (SELECT txn_id, date, account_id, amount_cents, amount, description, MAX(label) AS category, memo, tags, is_transfer FROM labelled GROUP BY ALL),
+first_stg AS (SELECT txn_id, date, account_id, amount_cents, amount, description, MIN(label) AS category, memo, tags, is_transfer FROM labelled GROUP BY ALL)"""
 
 
 @register("upsert_txns", TS_SQL + """
@@ -52,7 +55,7 @@ def q_upsert_idempotent(spark, sf_dir):
 
 
 @register("insert_ignore", TS_SQL + """
-SELECT * FROM tgt UNION ALL SELECT * FROM stg WHERE txn_id NOT IN (SELECT txn_id FROM tgt)""")
+SELECT * FROM tgt UNION ALL SELECT * FROM first_stg WHERE txn_id NOT IN (SELECT txn_id FROM tgt)""")
 def q_insert_ignore(spark, sf_dir):
     target, staging = _target_staging(Tables(spark, sf_dir))
     return upsert.insert_ignore(target, staging, ["txn_id"])
@@ -105,8 +108,7 @@ def q_newest_file_wins(spark, sf_dir):
         F.concat(F.lit("positions_"), (F.col("l_orderkey") % 3).cast("string"), F.lit(".csv")).alias("source_file"),
         (F.col("l_orderkey") % 3).cast("long").alias("file_mtime"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_idx"))
-    order = [F.col("file_mtime").desc(), F.col("source_file").desc(), F.col("row_idx").asc()]
-    r = keep_first(src, ["as_of_date", "account_id", "symbol"], order)
+    r = identity.newest_file_wins(src, row_col="row_idx")
     return r.select("as_of_date", "account_id", "symbol", "shares", "price", "market_value", "source_file")
 
 
@@ -123,19 +125,16 @@ def q_dedupe_batch(spark, sf_dir):
 
 
 @register("anti_batch_dedupe", with_clause("transactions") + f""",
-ex AS (SELECT date, account_id, ROUND(amount, 2) AS a, {merchant_norm_sql('description')} AS m FROM transactions
-       WHERE CAST(split_part(txn_id, '-', 1) AS BIGINT) % 2 = 0),
-b AS (SELECT *, ROUND(amount, 2) AS a, {merchant_norm_sql('description')} AS m FROM transactions
-      WHERE CAST(split_part(txn_id, '-', 1) AS BIGINT) % 3 = 0)
-SELECT txn_id, date, account_id, amount, description FROM b
-WHERE NOT EXISTS (SELECT 1 FROM ex WHERE ex.date = b.date AND ex.account_id = b.account_id AND ex.a = b.a AND ex.m = b.m)""")
+k AS (SELECT *, hash(date, account_id, ROUND(amount, 2), shop) AS key
+      FROM (SELECT *, {merchant_norm_sql('description')} AS shop FROM transactions)),
+known AS (SELECT DISTINCT key FROM k WHERE ABS(amount_cents) % 2 = 0)
+SELECT txn_id, date, account_id, amount, description FROM k WHERE key NOT IN (SELECT key FROM known)""")
 def q_anti_batch_dedupe(spark, sf_dir):
-    """New batch (orders divisible by 3) against the normalized store (even
-    orders): rows already present by the batch key are dropped."""
+    """All transactions as a new batch against a store that holds those of even
+    amounts: rows already present by the batch key are dropped."""
     tx = Tables(spark, sf_dir).transactions
-    existing = tx.filter(_orderkey() % 2 == 0)
-    batch = tx.filter(_orderkey() % 3 == 0)
-    return identity.anti_batch_dedupe(batch, existing).select("txn_id", "date", "account_id", "amount", "description")
+    known = tx.filter(F.abs(F.col("amount_cents")) % 2 == 0)
+    return identity.anti_batch_dedupe(tx, known).select("txn_id", "date", "account_id", "amount", "description")
 
 
 # ------------------------------------------------------------ C-6 ---------
@@ -179,7 +178,7 @@ def q_balances_upsert(spark, sf_dir):
         F.col("o_totalprice").alias("balance"),
         F.concat(F.lit("balances_"), F.col("o_orderpriority"), F.lit(".csv")).alias("source_file"),
         F.col("o_orderkey").alias("row_idx")).filter(F.month("as_of_date").isin(3, 9))
-    last = keep_first(stg, ["as_of_date", "account_id"], [F.col("source_file").desc(), F.col("row_idx").desc()])
+    last = upsert.last_per_key(stg, ["as_of_date", "account_id"], ["source_file", "row_idx"])
     r = upsert.upsert(t.balance_snapshot, last.select("as_of_date", "account_id", "balance"), ["as_of_date", "account_id"])
     return r.withColumn("balance", F.round(F.col("balance") * 100) / 100)
 
@@ -292,25 +291,38 @@ def q_normalize_position_exports(spark, sf_dir):
 
 
 # ------------------------------------------------------------ 2.M streaming
-@register("incremental_load", with_clause("transactions") + """,
-x AS (SELECT *, CAST(substr(account_id, 2) AS INT) AS s FROM transactions),
-f AS (SELECT date, amount_cents, description,
-             CASE WHEN s % 2 = 0 THEN 'CHECKING' || CAST(s % 4 AS VARCHAR) ELSE 'CARD_GOLD' || CAST(s % 3 AS VARCHAR) END AS account_id,
-             COALESCE(contains(UPPER(description), 'ORIG CO'), FALSE) AS oc FROM x),
-g AS (SELECT *, MAX(CAST(oc AS INT)) OVER (PARTITION BY account_id, date, amount_cents) AS any_p,
-             MIN(CAST(oc AS INT)) OVER (PARTITION BY account_id, date, amount_cents) AS all_p FROM f)
-SELECT date, account_id, CAST(amount_cents AS DOUBLE) / 100 AS amount, amount_cents, description
-FROM g WHERE NOT (oc AND any_p = 1 AND all_p = 0)""")
+@register("incremental_load", with_clause("transactions", "category_rules") + f""",
+x AS (SELECT *, CAST(substr(account_id, 2) AS INT) AS s, CAST(split_part(txn_id, '-', 2) AS INT) AS line FROM transactions),
+f AS (SELECT date, amount_cents, description, {merchant_norm_sql('description')} AS shop, line, s % 2 = 1 AS card,
+             CASE WHEN s % 2 = 0 THEN 'CHECKING' || CAST(s % 4 AS VARCHAR) ELSE 'CARD_GOLD' || CAST(s % 3 AS VARCHAR) END AS account_id
+      FROM x),
+keys AS (SELECT date, account_id, amount_cents, shop, MIN(description) AS description, BOOL_OR(line = 4) AS again, BOOL_OR(card) AS card,
+                contains(UPPER(MIN(description)), 'ORIG CO') AS pending FROM f GROUP BY ALL),
+{first_match_ctes('keys')}
+SELECT sha256(k.date::VARCHAR || '|' || k.account_id || '|' || k.amount_cents || '|' || shop || '|1') AS txn_id, k.date, k.account_id,
+       CAST(k.amount_cents AS DOUBLE) / 100 AS amount, k.amount_cents, k.description,
+       CASE WHEN again THEN CASE WHEN card THEN 'Corrected' END
+            ELSE COALESCE(won.category, CASE WHEN card THEN CASE WHEN k.amount_cents < 0 THEN 'Shopping' ELSE 'Payment' END END) END AS category
+FROM keys k LEFT JOIN won USING (description)
+WHERE NOT (pending AND EXISTS (SELECT 1 FROM keys o WHERE NOT o.pending AND o.date = k.date AND o.account_id = k.account_id
+                                                      AND o.amount_cents = k.amount_cents))""")
 def q_incremental_load(spark, sf_dir):
-    """Raw bank exports loaded by a file-source stream (availableNow) whose
-    micro-batches upsert into a month-partitioned transactions table."""
-    import os
-    import uuid
+    """Raw bank exports loaded by file-source streams (availableNow) in three
+    drops: all rows without the settled rows of first lines, whose pending twins
+    are there already; those settled rows, and third lines once more; then fourth
+    lines exported again with a corrected category, loaded as an update."""
+    from spark_ledger.operators.versions import TableStore
     from spark_ledger.plans.raw_exports import export_root, write_bank_exports
-    from spark_ledger.streaming.incremental import run_incremental
+    from spark_ledger.streaming.incremental import TRANSACTIONS, run_incremental
     t = Tables(spark, sf_dir)
-    raw = write_bank_exports(t)
-    run_dir = os.path.join(export_root(t, "incremental"), uuid.uuid4().hex)
-    table = os.path.join(run_dir, "transactions")
-    run_incremental(spark, raw, table, os.path.join(run_dir, "_checkpoint"))
-    return spark.read.parquet(table).select("date", "account_id", "amount", "amount_cents", "description")
+    line = F.split_part("txn_id", F.lit("-"), F.lit(2)).cast("int")
+    later = (line == 1) & ~F.col("txn_id").endswith("-oc")
+    root = export_root(t, "incremental")
+    tx = t.transactions
+    for n, (rows, category, rules) in enumerate([(tx.filter(~later), None, t.category_rules),
+                                                 (tx.filter(later | (line == 3)), None, t.category_rules),
+                                                 (tx.filter(line == 4), "Corrected", None)]):
+        raw = write_bank_exports(t, rows, category)
+        run_incremental(spark, raw, f"{root}/tables", f"{root}/_checkpoint{n}", rules, reprocess=category is not None)
+    return TableStore(spark, f"{root}/tables").read(TRANSACTIONS).select(
+        "txn_id", "date", "account_id", "amount", "amount_cents", "description", "category")

@@ -8,7 +8,7 @@ from pyspark.sql import Window, functions as F
 from spark_ledger.functions import round_to
 from spark_ledger.operators import allocation, cleaning, measures, rollups
 from spark_ledger.plans.queries_core import TWC_NT_SQL, twc_frame
-from spark_ledger.plans.queries_portfolio import BAL_ENRICHED_SQL, M, PE_SQL, R, _money_sql, _pe, _ratio_sql
+from spark_ledger.plans.queries_portfolio import BAL_ENRICHED_SQL, M, PE_SQL, R, _money_sql, _pe, _ratio_sql, _signed
 from spark_ledger.plans.queries_retirement import BUDGET_CTES, _rolled
 from spark_ledger.plans.registry import register
 from spark_ledger.plans.sql_snippets import CATEGORIZE_CTES, DEDUP_CTES, NON_TRANSFER_CTE, TWC_FIXTURES
@@ -64,8 +64,7 @@ def q_slicer_months(spark, sf_dir):
 
 # ------------------------------------------------------------ K: NW % -----
 @register("net_worth_group_pct", BAL_ENRICHED_SQL + f""",
-g AS (SELECT month, acct_group, {_money_sql("SUM(CASE WHEN include_networth THEN balance_norm ELSE 0 END)")} AS value
-      FROM be GROUP BY 1, 2),
+g AS (SELECT month, acct_group, {_signed("counts")} AS value FROM be GROUP BY ALL),
 y AS (SELECT CAST(substr(month, 1, 4) AS INTEGER) AS year, * FROM g),
 last AS (SELECT year, MAX(month) AS m FROM y GROUP BY year),
 e AS (SELECT y.year, y.acct_group, y.value FROM y JOIN last ON last.year = y.year AND last.m = y.month)

@@ -31,4 +31,4 @@ def register(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from spark_ledger.plans import (queries_core, queries_portfolio, queries_retirement, queries_ingest,  # noqa: F401
-                                    queries_reports)
+                                    queries_reports, queries_context, queries_tables)

@@ -43,7 +43,7 @@ SELECT 'S' || CAST(s_suppkey AS STRING) AS account_id, s_name AS account_name,
 FROM supplier WHERE s_suppkey % 10 <> 9""", ("supplier",)),
     "positions": ("""
 SELECT last_day(CAST(l_shipdate AS DATE)) AS as_of_date, 'S' || CAST(l_suppkey AS STRING) AS account_id,
-       'P' || CAST(l_partkey % 50 AS STRING) AS symbol, SUM(l_quantity) AS shares,
+       'P' || CAST(l_partkey AS STRING) AS symbol, SUM(l_quantity) AS shares,
        SUM(l_extendedprice) / SUM(l_quantity) AS price, SUM(l_extendedprice) AS market_value
 FROM lineitem GROUP BY 1, 2, 3""", ("lineitem",)),
     "security_dim": ("""
@@ -54,7 +54,13 @@ SELECT 'P' || CAST(p_partkey AS STRING) AS symbol, p_type AS asset_class, p_bran
        CASE WHEN p_partkey % 4 = 3 THEN NULL ELSE CAST(p_size AS DOUBLE) / 1000 END AS dividend_yield,
        CAST(p_partkey % 11 AS DOUBLE) / 10 AS qualified_ratio,
        CASE WHEN p_partkey % 6 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS federal_taxable_ratio
-FROM part WHERE p_partkey < 45""", ("part",)),
+FROM part WHERE p_partkey % 10 <> 9""", ("part",)),
+    "security_yields": ("""
+SELECT 'P' || CAST(p_partkey AS STRING) AS symbol, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) / 1000 END AS yield_forward,
+       CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) / 2000 END AS yield_trailing,
+       CASE p_partkey % 5 WHEN 0 THEN 'muni' WHEN 1 THEN 'treasury' WHEN 2 THEN ' Standard ' END AS tax_treatment,
+       CASE WHEN p_partkey % 7 = 0 THEN CAST(999 AS DOUBLE) ELSE CAST(p_partkey % 11 AS DOUBLE) / 10 END AS qualified_ratio
+FROM part WHERE p_partkey % 10 <> 9""", ("part",)),
     "target_allocation": ("""
 SELECT asset_class, CAST(1 AS DOUBLE) / CAST(COUNT(*) OVER () AS DOUBLE) AS target_weight FROM (SELECT DISTINCT p_type AS asset_class FROM part WHERE p_type <> 'SMALL') q""",
                           ("part",)),
@@ -68,11 +74,13 @@ SELECT * FROM (VALUES ('contains', 'ring', 'Jewelry', 10, 'false'), ('regex', 'b
 SELECT * FROM (VALUES (TRUE, CAST(NULL AS DATE), 'hot anvil', CAST(NULL AS DOUBLE), 'OverrideAnvil', TRUE), (TRUE, DATE '1998-06-15', 'small', CAST(NULL AS DOUBLE), 'OverrideDay', FALSE), (FALSE, CAST(NULL AS DATE), '.*', CAST(NULL AS DOUBLE), 'Inactive', FALSE)) AS t(active, date, description_regex, amount, category, subscription)""",
                            ()),
     "category_dim": ("""
-SELECT * FROM (VALUES ('Jewelry', 'Luxury', 'Discretionary', FALSE), ('Widgets', 'Tools', 'Discretionary', FALSE), ('Hardware', 'Tools', 'Fixed', FALSE), ('HouseBrand', 'Staples', 'Fixed', FALSE), ('Economy', 'Staples', 'Income', FALSE), ('OverrideAnvil', 'Transfers', 'Transfer', TRUE)) AS t(category, parent_category, top_bucket, is_transfer)""",
+SELECT * FROM (VALUES ('Jewelry', 'Luxury', 'Discretionary', FALSE, 'Wants', 'Wear', 'G1'), ('Widgets', 'Tools', 'Discretionary', FALSE, 'Wants', 'Home', 'G1'), ('Hardware', 'Tools', 'Fixed', FALSE, 'Needs', 'Home', CAST(NULL AS STRING)), ('HouseBrand', 'Staples', 'Fixed', FALSE, 'Needs', 'Food', 'G2'), ('Economy', 'Staples', 'Income', FALSE, 'Needs', 'Food', 'G2'), ('OverrideAnvil', 'Transfers', 'Transfer', TRUE, 'None', 'None', 'G3')) AS t(category, parent_category, top_bucket, is_transfer, level1, level2, group_1)""",
                      ()),
     "budgets": ("""
-SELECT * FROM (VALUES ('Luxury', 199711, CAST(500 AS DOUBLE)), ('Luxury', 199802, CAST(650 AS DOUBLE)), ('Tools', 199812, CAST(300 AS DOUBLE)), ('Staples', 202001, CAST(1 AS DOUBLE))) AS t(parent_category, yyyymm, budget_amount)""",
-                ()),
+SELECT * FROM (VALUES (1, 'Luxury', 199711, CAST(500 AS DOUBLE)), (2, 'Luxury', 199802, CAST(900 AS DOUBLE)), (3, 'Tools', 199812, CAST(300 AS DOUBLE)), (4, 'Luxury', 199802, CAST(650 AS DOUBLE)), (5, 'Staples', 202001, CAST(1 AS DOUBLE))) AS t(row_idx, parent_category, yyyymm, budget_amount)
+UNION ALL SELECT 100 + MIN(o_orderkey), 'Clerk ' || CAST(o_custkey % 40 AS STRING), CAST(EXTRACT(year FROM o_orderdate) * 100 + 1 + 3 * (o_custkey % 4) AS INT), CAST(MIN(o_orderkey) % 1000 AS DOUBLE)
+          FROM orders GROUP BY o_custkey % 40, o_custkey % 4, EXTRACT(year FROM o_orderdate), o_custkey % 3""",
+                ("orders",)),
     "retirement_assumptions": ("""
 SELECT * FROM (VALUES
   ('Global', 'current_year', '2025', NULL, NULL, NULL), ('Global', 'inflation_rate', '0.02', NULL, NULL, NULL),
@@ -81,7 +89,14 @@ SELECT * FROM (VALUES
   ('Contribution', 'S0', '30000', '2025', '10', NULL), ('Contribution', 'extra_monthly', '500', '2026', '5', 'S3'),
   ('Contribution', 'SocialSecurity_Jo', '24000', '2037', 'lifetime', NULL), ('Withdrawal', 'living', '60000', '2035', 'lifetime', NULL),
   ('Withdrawal', 'roof', '15000', '2040', NULL, NULL), ('Other', 'ignored', '1', '2030', '2', NULL), ('Contribution', 'bonus_pct', '0.05', '2027', '3', NULL)
-) AS t(category, variable, value, start_year, duration, applies_to)""", ()),
+) AS t(category, variable, value, start_year, duration, applies_to)
+UNION ALL SELECT 'Global', 'fee_' || CAST(n_nationkey AS STRING), CAST(n_nationkey AS STRING), NULL, NULL, NULL FROM nation
+UNION ALL SELECT 'Contribution', 'plan_' || CAST(s_suppkey AS STRING), CAST(100 * (s_suppkey % 90) + 500 AS STRING),
+                 CAST(2025 + s_suppkey % 12 AS STRING), CAST(1 + s_suppkey % 7 AS STRING), 'S' || CAST(s_suppkey AS STRING)
+          FROM supplier WHERE s_suppkey % 4 = 1
+UNION ALL SELECT 'Withdrawal', 'care_' || CAST(s_suppkey AS STRING), CAST(10 * (s_suppkey % 50) + 20 AS STRING),
+                 CAST(2040 + s_suppkey % 9 AS STRING), CASE WHEN s_suppkey % 3 = 0 THEN 'lifetime' ELSE '4' END, NULL
+          FROM supplier WHERE s_suppkey % 10 = 2""", ("nation", "supplier")),
     "annual_tax_est": ("""
 SELECT * FROM (VALUES ('w2_income', 300000), ('deductions', -31500), ('loss_offset_ordinary', -3000), ('w2_taxes', 42000), ('est_tax_payments', 4000)) AS t(metric, value)""",
                        ()),

@@ -262,13 +262,12 @@ def test_withdrawal_rates(spark):
     assert r.initial_withdrawal_rate == pytest.approx(0.05)
 
 
-def test_sequence_within_chunks_equals_window(spark, monkeypatch):
+def test_sequence_within_equals_window(spark):
     import random
     from pyspark.sql import Window
     random.seed(7)
     rows = [(random.choice(["a", "b", None]), random.choice([1, 2]), i) for i in range(200)]
     df = spark.createDataFrame(rows, "k string, j int, row_idx long")
-    monkeypatch.setattr(identity, "SEQ_CHUNK_ROWS", 7)
     got = {r.row_idx: r.seq for r in identity.sequence_within(df, ["k", "j"], "row_idx", "seq").collect()}
     w = Window.partitionBy("k", "j").orderBy("row_idx")
     ref = {r.row_idx: r.seq for r in df.withColumn("seq", F.row_number().over(w)).collect()}
