@@ -132,3 +132,21 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch, rows):
     assert embedding_dedup.near_vectors(emb.limit(0)).count() == 0
     none = {r["n_links"] for r in embedding_dedup.near_vectors(emb.where("vec_id in (100000, 100002)")).collect()}
     assert none == {0}
+
+
+def test_jaccard_join_without_and_with_shared_ids(spark):
+    """Null ids belong to no component; rows of one id are one document."""
+    from spark_ledger.llm.ngram_join import near_duplicates
+    rnd, words = random.Random(3), [f"w{i}" for i in range(900)]
+    a, b, c = (" ".join(rnd.choices(words, k=60)) for _ in range(3))
+    rows = [(1, a), (2, a + " tail"), (2, b), (3, b + " tail"), (None, a), (None, c), (4, c), (4, c), (5, "alone"), (5, ""), (None, None)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(1, 1), (2, 1), (3, 1), (None, None), (4, 4), (5, 5)}
+    assert sorted(r["n_shingles"] for r in got if r["doc_id"] is None) == [0, 56, 56]
+
+
+def test_packed_sets_round_trip():
+    from spark_ledger.llm.ngram_join import packed, unpacked
+    s = np.sort(np.random.default_rng(1).integers(0, 2**64, 100, np.uint64))
+    assert (unpacked(packed(s)) == s >> np.uint64(16) << np.uint64(16)).all() and len(packed(s)) == 600 and len(unpacked(b"")) == 0
