@@ -41,7 +41,8 @@ PART = 1 << 14             # terms whose counts travel as one row
 
 PREFIXES = (3, 4, 5, 6, 7)
 OFTEN = (2, 4)             # a term counts again, as ``term>=n``, where it occurs so often
-MAX_WORDS = 50_000        # words remembered by a task's table
+MAX_WORDS = 150_000       # words remembered by a task's table
+_PARTS = re.compile(r"[^\W\d_]+|\0")
 
 
 def terms_of(text: str) -> dict[str, int]:
@@ -94,6 +95,38 @@ class WordTerms(dict):
         return t[order], n[order]
 
 
+    def counts_many(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``counts`` of many texts at once: each distinct word is looked up once
+        and (text, term) pairs are summed by one sort."""
+        if not texts:
+            return []
+        parts = pa.array(_PARTS.findall("\0".join(t.replace("\0", " ") for t in texts).lower() + "\0"), pa.string()).dictionary_encode()
+        code, words = parts.indices.to_numpy().astype(np.int64), parts.dictionary.to_pylist()
+        cut = code == words.index("\0")
+        text = np.cumsum(cut)[~cut]
+        pair, n = np.unique(text * len(words) + code[~cut], return_counts=True)
+        text, code = np.divmod(pair, len(words))
+        got = [self[w] for w in words]
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        flat = np.fromiter((i for x in got for i in x), np.int64, int(size.sum()))
+        at = _spans((np.cumsum(size) - size)[code], size[code])
+        plain = max(len(self.number), 1)
+        key = np.repeat(text * plain, size[code]) + flat[at]
+        order = np.argsort(key, kind="stable")
+        key, n = key[order], np.repeat(n, size[code])[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        n = np.add.reduceat(n, first).astype(float) if len(first) else np.zeros(0)
+        text, at = np.divmod(key[first], plain)
+        more = [n >= k for k in OFTEN]
+        t = np.concatenate([self.term[1][at], *(self.term[k][at[m]] for k, m in zip(OFTEN, more, strict=True))])
+        text = np.concatenate([text, *(text[m] for m in more)])
+        n = np.concatenate([n, np.ones(len(t) - len(n))])
+        text, t, n = text[t >= 0], t[t >= 0], n[t >= 0]
+        order = np.lexsort((t, text))
+        t, n, cuts = t[order], n[order], np.searchsorted(text[order], np.arange(1, len(texts)))
+        return list(zip(np.split(t, cuts), np.split(n, cuts), strict=True))
+
+
 def weighted(t: np.ndarray, n: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Term numbers and unit-length weights."""
     w = (1 + np.log(n)) * weights[t]
@@ -243,7 +276,7 @@ class Model:
     def evidences(self, texts: list[str]) -> list[tuple[float, list[tuple[float, int]]]]:
         index, labels, bare = self._open()
         table = self.words.table()
-        vectors = [weighted(*table.counts(t), self.weights) for t in texts]
+        vectors = [weighted(*c, self.weights) for c in table.counts_many(texts)]
         out = []
         for (t, _), near in zip(vectors, index.many(vectors, self.k)):
             weight = sum(s for s, _ in near)
@@ -279,8 +312,10 @@ def corpus_counts(docs: DataFrame, sent, n_terms: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, n = sent.value.table(), np.zeros(n_terms + 1, np.int64)
         for batch in batches:
-            for t in batch.column(0):
-                n[words.counts(t.as_py() or "")[0]] += 1
+            for first in range(0, batch.num_rows, 256):
+                some = [t or "" for t in batch.column(0).slice(first, 256).to_pylist()]
+                held = [t for t, _ in words.counts_many(some)]
+                n[:n_terms] += np.bincount(np.concatenate(held), minlength=n_terms)
             n[n_terms] += batch.num_rows
         rows = [(i, n[i * PART:(i + 1) * PART]) for i in range(n_terms // PART + 1)] if n[n_terms] else []
         yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int32()),

@@ -69,3 +69,20 @@ def test_all_terms_of_the_examples_count(spark):
     assert all(got[5000 + i]["predicted"] == 1 for i in range(20))
     clean = model.evidence(rows[1][1])
     assert len(clean[1]) == 15 and clean[0] < .5                                       # clean texts have neighbours
+
+
+def test_counts_of_many_texts_equal_those_of_each():
+    import random
+
+    from spark_ledger.llm.toxicity import WordTerms, terms_of
+    rnd = random.Random(2)
+    words = ["a", "Idiot", "idiots", "İdiot", "straße", "日本語", "no1", "x_y", "\0", "don't", "ÉTÉ", "q\0r"]
+    texts = ["", " ".join(words)] + [" ".join(rnd.choices(words, k=rnd.randint(0, 30))) for _ in range(200)] + [""]
+    terms = sorted({t for x in texts for t in terms_of(x)})[::2]
+    table = WordTerms(terms)
+    got = table.counts_many(texts)
+    assert len(got) == len(texts) and table.counts_many([]) == []
+    for text, (t, n) in zip(texts, got):
+        one = table.counts(text)
+        assert t.tolist() == one[0].tolist() and n.tolist() == one[1].tolist()
+        assert {terms[i]: c for i, c in zip(t.tolist(), n.tolist())} == {x: c for x, c in terms_of(text).items() if x in set(terms)}
