@@ -8,8 +8,8 @@ level to level with one rank each: any token is reached without decoding a
 block.
 
 A file is a Parquet table of shards, each a self-contained code of a run of
-whole documents in ascending ``doc_id`` order (repeated ids stay side by side),
-so files are committed by Spark's writer, live in any store Spark reads, and a
+whole documents in ascending ``doc_id`` order (repeated ids stay side by side, rows
+without an id come first), so files are committed by Spark's writer, live in any store Spark reads, and a
 lost executor's shard is written again.  Null and empty texts are one end id;
 an empty table gives no shards.
 """
@@ -112,7 +112,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
             ids, counts = np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
             return pa.RecordBatch.from_arrays([
                 pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([before], pa.int64()),
-                pa.array([np.concatenate([h[0] for h in held])], pa.list_(pa.int64())),
+                pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), pa.concat_arrays([h[0] for h in held])),
                 pa.array([counts], pa.list_(pa.int64())), pa.array([len(ids)], pa.int64()),
                 pa.array([dac_encode(ids)], pa.binary())], ["part", "shard", "before", "docs", "lens", "n_ids", "code"])
 
@@ -121,7 +121,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
             for first, k in slices(texts):
                 flat, counts = enc.encode(texts.slice(first, k))
                 flat = np.insert(flat, np.cumsum(counts), end_id)
-                held.append((batch.column(0).slice(first, k).to_numpy(zero_copy_only=False), flat, counts + 1))
+                held.append((batch.column(0).slice(first, k), flat, counts + 1))
                 held_ids += len(flat)
                 if held_ids >= shard_ids:
                     yield flush()

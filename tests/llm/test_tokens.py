@@ -140,5 +140,9 @@ def test_op10_files(spark, tmp_path):
         assert (r["start"], r["n_tokens"]) == (at, len(ids)) and bytes(r["tokens"]) == np.array(ids, "<u4").tobytes()
         at += len(ids)
     assert token_at(spark.read.parquet(str(tmp_path / "t")), 0, 0, 0) == 2     # the null text
+    rows = [(None, "b"), (2, "c"), (None, "b"), (2, "a"), (2, "a")]
+    write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "n"), path("word_bpe_49k.json"))
+    got = read_tokens(spark, str(tmp_path / "n")).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == [None, None, 2, 2, 2] and [r["start"] for r in got] == [0, 2, 4, 6, 8]
     write_tokens(docs.limit(0), str(tmp_path / "e"), path("word_bpe_49k.json"))
     assert read_tokens(spark, str(tmp_path / "e")).count() == 0
