@@ -25,13 +25,13 @@ from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex", "guess")
 
-_ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+_ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-# an identifier, what assigns, and the value behind it; plain space assigns after ``bearer`` only.  The
-# value is looked at, not taken, so that a name inside a value is met too
-_CONTEXT = re.compile(r"""(?<![\w-])([\w-]+)["']?(?:[ \t]{0,8}(?:[:=]|->)[ \t]{0,8}|(?<=(?i:bearer))([ \t]{1,8}))["']?"""
-                      r"""(?=([^\s"'`,;<>()\[\]{}|]{8,}))""")
+# an identifier and what assigns (plain space after ``bearer`` only); the value stands behind it.  It is
+# not part of the match, so that a name inside a value is met too
+_CONTEXT = re.compile(r"""(?<![\w-])([\w-]+)["']?(?:[ \t]{0,8}(?:[:=]|->)[ \t]{0,8}|(?<=(?ai:bearer))([ \t]{1,8}))["']?""")
+_VALUE_END = re.compile(r"""[\s"'`,;<>()\[\]{}|]""")
 _NAME = re.compile(r"(?i:(?<![^\W_])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|credentials?|auth|bearer"
                    r"|private[_-]?key|pin)(?![^\W_]))")
 _HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
@@ -109,14 +109,21 @@ def find_spans(text: str, ranks: dict[str, int], min_cost: float) -> list[tuple[
     found += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 16]
     found += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
     fixed = list(found)
-    done = 0
+    done, run_end = 0, -1
     for m in _CONTEXT.finditer(text):
-        a = m.start(3)
+        a = m.end()
         if a < done or not (_NAME.search(m[1]) or _NAME.search(_HUMP.sub("_", m[1]))):
             continue
-        value = m[3].rstrip(".!?:")
-        b = a + len(value)
-        if len(value) < 8 or m[2] and _PROSE.fullmatch(value):
+        if a > run_end:                                # names inside one run of value characters share its end
+            end = _VALUE_END.search(text, a)
+            run_end = end.start() if end else len(text)
+        b = run_end
+        while b > a and text[b - 1] in ".!?:":
+            b -= 1
+        if b - a < 8:
+            continue
+        value = text[a:b]
+        if m[2] and _PROSE.fullmatch(value):
             continue
         if not any(s <= a and b <= e for s, _, e in fixed) and guess_cost(value, ranks)[0] >= min_cost:
             found.append((a, 3, b))

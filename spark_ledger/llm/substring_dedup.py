@@ -17,7 +17,8 @@ surroundings) send their windows one by one, dealt by the window.
 
 Tables between levels are written to the shared folder.  Null text has no words;
 texts shorter than the window lose nothing; rows that share an id never remove
-each other's words; an empty table gives no rows.
+each other's words, see ``repeated_windows`` for those with different texts and for
+rows without an id; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -130,10 +131,13 @@ def _window_rows(length: int, half: int):
         for batch in batches:
             for doc, text, at, hot in zip(batch.column(0).to_pylist(), *(batch.column(i) for i in (1, 2, 3))):
                 h = hashes.of(text.as_py().encode().split())
+                if len(h) < length:
+                    continue
                 hs, full = windows(h, half), windows(h, length)
                 alive = np.zeros(len(hs), np.int8)
-                alive[at.values.to_numpy()] = 1
-                alive[hot.values.to_numpy()] = 2
+                for places, mark in ((at, 1), (hot, 2)):       # rows that share an id may be of other lengths
+                    places = places.values.to_numpy()
+                    alive[places[places < len(hs)]] = mark
                 anchor = np.lib.stride_tricks.sliding_window_view(hs, span).argmin(axis=1) + np.arange(len(full))
                 where = np.flatnonzero(alive[anchor] > 0)
                 anchor = anchor[where]
@@ -201,12 +205,14 @@ def _cut(length: int, untouched: bool):
 
 
 def _base(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    """Rows that can take part: an id is needed to be smaller or larger than another."""
+    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def repeated_windows(docs: DataFrame, length: int = 50) -> DataFrame:
     """``doc_id, at, n``: runs of ``n`` windows from start word ``at`` that are to
-    be removed.  Rows that share an id must have the same text to lose words."""
+    be removed.  Rows that share an id but not their text, and rows without an id,
+    lose nothing; the former's windows still count for larger ids."""
     spark, half = docs.sparkSession, -(-length // 2)
     path = shared_path(spark, "anchors")
     _base(docs).mapInArrow(_anchor_rows(length, half), "doc_id long, h long, at int").write.parquet(path)
@@ -221,7 +227,10 @@ def repeated_windows(docs: DataFrame, length: int = 50) -> DataFrame:
      .mapInArrow(_window_rows(length, half), _RUNS).write.parquet(path))
     runs = spark.read.schema(_RUNS).parquet(path)
     far = (runs.where("key is not null").repartition("key").sortWithinPartitions("key").mapInArrow(_compare_runs, _RUNS))
-    return runs.where("key is null").unionByName(far).select("doc_id", "at", "n")
+    # an id with different texts does not say whose words a run covers
+    several = (_base(docs).groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("x"), F.max(F.xxhash64("text")).alias("y"), F.count("*").alias("c"))
+               .where("c > 1 and x < y").select("doc_id"))
+    return runs.where("key is null").unionByName(far).select("doc_id", "at", "n").join(several, "doc_id", "left_anti")
 
 
 def without_windows(docs: DataFrame, runs: DataFrame, length: int = 50, untouched: bool = False) -> DataFrame:

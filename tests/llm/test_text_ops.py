@@ -201,3 +201,25 @@ def test_substring_dedup_equals_brute_force(spark, length):
         want.append((i, len(w), len(gone), " ".join(x for j, x in enumerate(w) if j not in gone)))
     assert got == sorted(want)
     assert substring_dedup(table(spark, texts, ids).limit(0)).count() == 0
+
+
+def test_secret_scan_is_linear_and_ascii(spark):
+    import time
+
+    from spark_ledger.llm.secrets_scan import COMMON_WORDS, find_spans
+    ranks = {w: i + 1 for i, w in enumerate(COMMON_WORDS)}
+    for text in ("ab:" * 350_000, "a.b=c/" * 170_000, "pwd:" * 250_000, "x" * 1_000_000, "a-b_" * 250_000):
+        started = time.perf_counter()
+        find_spans(text, ranks, 10.0)
+        assert time.perf_counter() - started < 20, text[:10]
+    for text in ("to\u212aen: abcdefgh1", "pa\u017f\u017fword=abcdefgh1"):       # letters that only Unicode folds to these
+        assert not [s for s in find_spans(text, ranks, 99.0) if s[1] == 0]
+
+
+def test_substring_dedup_null_and_shared_ids(spark):
+    from spark_ledger.llm.substring_dedup import substring_dedup
+    passage, other = " ".join(f"p{i}" for i in range(60)), " ".join(f"q{i}" for i in range(70))
+    rows = [(None, passage), (1, "short"), (1, passage + " a"), (2, passage), (2, other), (3, "x " + passage), (3, "x " + passage), (4, other), (None, other)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"] or 0), r["n_words"], r["n_removed"]) for r in substring_dedup(docs, 50).collect())
+    assert got == [(0, 60, 0), (0, 70, 0), (1, 1, 0), (1, 61, 0), (2, 60, 0), (2, 70, 0), (3, 61, 60), (3, 61, 60), (4, 70, 70)]
