@@ -96,12 +96,13 @@ def ratio_weights(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKET
 
 
 def quality(docs: DataFrame, trusted_ids: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS,
-            evidence_threshold: float = EVIDENCE_THRESHOLD) -> DataFrame:
+            evidence_threshold: float = EVIDENCE_THRESHOLD, carry: tuple[str, ...] = ()) -> DataFrame:
     """Counts, ``score`` (null without words), ``base_failed`` and ``kept`` of
-    every document; documents are told apart by a row key, not by their id."""
+    every document, and the columns ``carry`` as they are; documents are told apart
+    by a row key, not by their id, which may be null or repeated."""
     weights = ratio_weights(docs, trusted_ids, buckets)
-    d = base_counts(docs, "doc_id").withColumn("_row", F.monotonically_increasing_id())
-    fields = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    d = base_counts(docs, "doc_id", *carry).withColumn("_row", F.monotonically_increasing_id())
+    fields = ["doc_id", *carry, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     scored = (d.select("_row", *fields, F.explode_outer(grams_of(F.col("_words"), buckets)).alias("bucket"))
               .join(F.broadcast(weights), "bucket", "left")                            # at most ``buckets`` rows
               .groupBy("_row", *fields).agg(F.avg("w").alias("score"), F.avg("v").alias("_v")))
