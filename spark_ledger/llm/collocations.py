@@ -6,13 +6,13 @@ counted; Spark's ROLLUP over ``(lang, w1, .. wN)`` then sums successively
 shorter prefixes, and the count of a prefix is the count of that phrase, so no
 phrase length is ever exploded for itself.
 
-Most windows of natural text occur once.  A first pass over all texts counts
-neighbouring word pairs in hash buckets; a window is padded already behind the
-first pair whose bucket stays below ``min_count``, since no phrase that long can
-reach it.  Buckets only ever count too much, so every phrase with ``min_count``
-occurrences keeps its exact count.  The bucket table has at most ``2 **
-MAX_BITS`` entries whatever the input (one bit each when broadcast: 2 MB); on
-corpora that outgrow it fewer windows are shortened, and the results stay.
+Most windows of natural text occur once, so they travel packed: a slice's distinct
+windows go, sorted and compressed, to buckets by language, first word and a part of
+the second, so all windows that share their first two words meet in one bucket
+while a very common first word is spread over several.  There a window is padded
+behind the first prefix that stays below ``min_count``, which changes the count of no
+phrase that reaches it, and what is left, few rows, goes to the ROLLUP.  The number
+of buckets follows the corpus, so a bucket's size does not.
 
 Scores use exact decimals of 38 digits, enough for counts below 10^15.  Null
 text holds no words, null lang counts as ``und``, repeated rows count each time,
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,9 +34,10 @@ from spark_ledger.llm.chunks import slices
 from spark_ledger.llm.common import cut_lineage
 from spark_ledger.llm.words import mix
 
-MAX_BITS = 24              # the pair filter has at most 2 ** MAX_BITS buckets
-SLICE_BYTES = 3_000_000    # text handled at a time
-BLOCK = 1 << 16            # buckets that travel together
+SLICE_BYTES = 6_000_000    # text handled at a time
+BUCKET_BYTES = 8_000_000   # text whose windows make up one bucket, on average
+SPREAD = 16                # buckets that one first word is spread over
+HELD = 1_500_000           # windows of a bucket that are held before they are summed
 SALTS = 64                 # parts of a language in the first step of its ranking
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -43,7 +45,6 @@ _LOWER[65:91] += 32
 _KIND = np.zeros(256, np.uint8)              # 0 word, 1 between words, 2 between pieces
 _KIND[[0x20, 0x09]] = 1
 _KIND[list(b".,;:!?\n\x0b\x0c\r")] = 2
-_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Words:
@@ -76,96 +77,116 @@ def hashed(texts: list[str]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, texts), np.uint64, len(texts))
 
 
-class Pairs:
-    """Bucket of each neighbouring pair of words within its language."""
-
-    def __init__(self, bits: int):
-        self.bits = bits
-
-    def buckets(self, words: Words, lang_codes: np.ndarray, langs: list[str], at: np.ndarray) -> np.ndarray:
-        h = hashed(words.distinct.to_pylist())[words.code]
-        of_lang = hashed(langs)[lang_codes[words.text[at]]]
-        return (mix(mix(h[at] + of_lang) * _ODD + h[at + 1]) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-
-def _batches(batches: Iterator[pa.RecordBatch]):
+def _batches(batches: Iterator[pa.RecordBatch], size: int):
     """``(texts, lang codes, langs)`` by slices of the batches."""
     for batch in batches:
         texts = batch.column(1).cast(pa.string())
-        for first, n in slices(texts, SLICE_BYTES):
+        for first, n in slices(texts, size):
             lang = batch.column(0).cast(pa.string()).slice(first, n).dictionary_encode()
-            yield texts.slice(first, n), lang.indices.to_numpy(), lang.dictionary.to_pylist()
-
-
-def pair_filter(src: DataFrame, min_count: int, bits: int) -> np.ndarray:
-    """One bit per bucket: whether its pairs occur ``min_count`` times together.
-    Counts saturate at 255, so blocks of buckets stay 64 KB in each step."""
-    size, limit = 1 << bits, min(min_count, 255)
-    width = min(BLOCK, size)
-
-    def count(batches):
-        pairs, table = Pairs(bits), np.zeros(size, np.uint8)
-        for texts, lang_codes, langs in _batches(batches):
-            words = Words(texts)
-            at = np.flatnonzero(words.joined)
-            used, n = np.unique(pairs.buckets(words, lang_codes, langs, at), return_counts=True)
-            table[used] = np.minimum(table[used] + n, 255)
-        for block in range(0, size, width):
-            part = table[block:block + width]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([part.tobytes()])], ["block", "counts"])
-
-    def merge(batches):
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                part = np.frombuffer(part.as_buffer(), np.uint8).astype(np.uint16)
-                sums[block] = np.minimum(sums[block] + part, 255) if block in sums else part
-        for block, total in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([np.packbits(total >= limit).tobytes()])],
-                                             ["block", "bits"])
-
-    rows = src.mapInArrow(count, "block int, counts binary").repartition("block").mapInArrow(merge, "block int, bits binary").collect()
-    out = np.zeros((size + 7) // 8, np.uint8)               # at most 2 ** (MAX_BITS - 3) bytes
-    for r in rows:
-        out[r["block"] // 8:r["block"] // 8 + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
-    return out
-
-
-def window_counts(src: DataFrame, max_words: int, allowed, bits: int) -> DataFrame:
-    """``lang, w1 .. wN, n``: padded longest windows, combined within slices."""
-    names = [f"w{i + 1}" for i in range(max_words)]
+            yield texts.slice(first, n), lang.indices.to_numpy(), lang.dictionary
+
+
+def lead_windows(words: Words, lang_codes: np.ndarray, max_words: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct windows of a slice as columns of codes (language, w1 .. wN; the code
+    behind the last word stands for padding), sorted, and their counts."""
+    wide = len(words.distinct) + 1
+    key, goes, lead, parts = lang_codes[words.text].astype(np.int64) * wide + words.code, words.joined, words.code, []
+    for i in range(max_words):                          # windows are numbered by the columns so far
+        if i:
+            lead = np.append(lead[1:], wide - 1)
+            key = group * wide + np.where(goes, lead, wide - 1)
+            goes = goes & np.append(words.joined[i:], np.zeros(i, bool))
+        used, group = np.unique(key, return_inverse=True)
+        parts.append(used)
+    columns, number = [], parts[-1]
+    for i in reversed(range(max_words)):
+        columns.append(number % wide)
+        number = number // wide if i == 0 else parts[i - 1][number // wide]
+    return [number, *reversed(columns)], np.bincount(group, minlength=len(parts[-1]))
+
+
+def _pack(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def packed_windows(src: DataFrame, max_words: int, buckets: int) -> DataFrame:
+    """``bucket, windows``: packed distinct windows of each slice."""
+    names, size = ["lang", *(f"w{i + 1}" for i in range(max_words)), "n"], SLICE_BYTES
 
     def run(batches):
-        pairs, table = Pairs(bits), allowed.value
-        for texts, lang_codes, langs in _batches(batches):
+        for texts, lang_codes, langs in _batches(batches, size):
             words = Words(texts)
             if not len(words.code):
                 continue
-            at = np.flatnonzero(words.joined)
-            bucket = pairs.buckets(words, lang_codes, langs, at)
-            on = np.zeros(len(words.code), bool)
-            on[at] = table[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8) & 1
-            wide = len(words.distinct) + 1                  # code wide - 1 stands for padding
-            key, goes = lang_codes[words.text].astype(np.int64) * wide + words.code, on
-            parts, lead = [], words.code
-            for i in range(max_words):                      # lead column i of every window, numbered with those before it
-                if i:
-                    lead = np.append(lead[1:], wide - 1)
-                    key = group * wide + np.where(goes, lead, wide - 1)
-                    goes = goes & np.append(on[i:], np.zeros(i, bool))
-                used, group = np.unique(key, return_inverse=True)
-                parts.append(used)
-            n = np.bincount(group, minlength=len(parts[-1]))
-            columns, number = [], parts[-1]
-            for i in reversed(range(max_words)):
-                columns.append(number % wide)
-                number = number // wide if i == 0 else parts[i - 1][number // wide]
+            columns, n = lead_windows(words, lang_codes, max_words)
+            h = np.append(hashed(words.distinct.to_pylist()), np.uint64(0))
+            second = h[columns[2]] % np.uint64(SPREAD)
+            bucket = (mix(mix(h[columns[1]] + hashed(langs.to_pylist())[columns[0]]) + second) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")       # windows stay sorted within a bucket
             vocabulary = pa.concat_arrays([words.distinct.cast(pa.string()), pa.array([None], pa.string())])
-            arrays = [vocabulary.take(pa.array(c)) for c in reversed(columns)]
-            yield pa.RecordBatch.from_arrays([pa.array(langs).take(pa.array(number)), *arrays, pa.array(n)], ["lang", *names, "n"])
+            arrays = [langs.take(pa.array(columns[0][order])), *(vocabulary.take(pa.array(c[order])) for c in columns[1:])]
+            table = pa.RecordBatch.from_arrays([*arrays, pa.array(n[order])], names)
+            cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+            for a, b in zip(cuts, np.append(cuts[1:], len(order)), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array([bucket[order[a]]], pa.int32()), pa.array([_pack(table.slice(a, b - a))], pa.binary())],
+                                                 ["bucket", "windows"])
+
+    return src.mapInArrow(run, "bucket int, windows binary")
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    names = table.column_names[:-1]
+    out = table.group_by(names, use_threads=False).aggregate([("n", "sum")])
+    return out.rename_columns([c if c != "n_sum" else "n" for c in out.column_names]).select([*names, "n"])
+
+
+def _padded(table: pa.Table, min_count: int) -> pa.Table:
+    """Summed windows of a bucket, padded behind the first prefix of two words and
+    more that stays below ``min_count``."""
+    names, n = table.column_names[:-1], table["n"].to_numpy()
+
+    def codes(column):
+        return column.combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy().astype(np.int64)
+
+    prefix = codes(table["lang"]) * (table.num_rows + 1) + codes(table["w1"])
+    alive, columns = np.ones(table.num_rows, bool), [table["lang"], table["w1"]]
+    for name in names[2:]:
+        _, prefix = np.unique(prefix, return_inverse=True)
+        prefix = prefix * (table.num_rows + 1) + codes(table[name])
+        _, back = np.unique(prefix, return_inverse=True)
+        alive = alive & (np.bincount(back, n)[back] >= min_count)
+        columns.append(pc.if_else(pa.array(alive), table[name].combine_chunks(), pa.scalar(None, pa.string())))
+    return _summed(pa.table([*columns, table["n"]], names=[*names, "n"]))
+
+
+def window_counts(src: DataFrame, max_words: int, min_count: int, buckets: int) -> DataFrame:
+    """``lang, w1 .. wN, n``: windows padded as early as their counts allow."""
+    most = HELD
+
+    def run(batches):
+        held, size, at = [], 0, None
+
+        def flush():
+            if held:
+                yield from _padded(_summed(pa.concat_tables(held)), min_count).to_batches(max_chunksize=50_000)
+
+        for batch in batches:
+            for bucket, cell in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if bucket != at:
+                    yield from flush()
+                    held, size, at = [], 0, bucket
+                held.append(pa.ipc.open_stream(cell.as_buffer()).read_all())
+                size += held[-1].num_rows
+                if size >= most:
+                    held = [_summed(pa.concat_tables(held))]
+                    size = held[0].num_rows // 2       # a bucket of ever new windows is summed less and less often
+        yield from flush()
 
-    return src.mapInArrow(run, ", ".join(["lang string", *(f"{w} string" for w in names), "n long"]))
+    schema = ", ".join(["lang string", *(f"w{i + 1} string" for i in range(max_words)), "n long"])
+    return packed_windows(src, max_words, buckets).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
 
 
 def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
@@ -174,10 +195,9 @@ def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10, lang
     src = docs.where(F.col(text_col).isNotNull()).select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                                                          F.col(text_col).alias("text"))
     size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(MAX_BITS, max(16, int(size).bit_length()))
-    allowed = docs.sparkSession.sparkContext.broadcast(pair_filter(src, min_count, bits))
     names = [f"w{i + 1}" for i in range(max_words)]
-    sums = window_counts(src, max_words, allowed, bits).rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))
+    sums = window_counts(src, max_words, min_count, 1 + size // BUCKET_BYTES).rollup("lang", *names).agg(
+        F.sum("n").alias("f"), F.grouping_id().alias("g"))
     length = F.lit(None)
     for k in range(max_words + 1):                          # a prefix of k words; windows padded earlier are no phrase
         full = F.col(names[k - 1]).isNotNull() if k else F.lit(True)

@@ -58,11 +58,12 @@ def test_equals_brute_force(spark, max_words, min_count, keep):
     assert len(got) == len(set(got)) and set(got) == want and got
 
 
-def test_filter_too_small_changes_nothing(spark, monkeypatch):
+def test_many_buckets_and_early_sums_change_nothing(spark, monkeypatch):
     from spark_ledger.llm import collocations as m
-    docs = spark.createDataFrame(made(9), SCHEMA)
+    docs = spark.createDataFrame(made(9), SCHEMA).repartition(4)
     want = {tuple(r) for r in m.collocations(docs).collect()}
-    monkeypatch.setattr(m, "MAX_BITS", 3)                   # 8 buckets: all pairs pass
+    for name, value in (("BUCKET_BYTES", 500), ("HELD", 50), ("SLICE_BYTES", 300)):
+        monkeypatch.setattr(m, name, value)
     assert {tuple(r) for r in m.collocations(docs).collect()} == want
 
 
