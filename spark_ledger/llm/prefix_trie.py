@@ -161,8 +161,8 @@ _PACKED = ("base binary, check binary, symbols binary, roots binary, conv binary
            "end_states binary, end_shas binary")
 
 
-def pack(rows: DataFrame) -> DataFrame:
-    """Whole shards, about ``SHARD_TURNS`` turns together, as double arrays.
+def pack(rows: DataFrame, shard_turns: int = SHARD_TURNS) -> DataFrame:
+    """Whole shards, about ``shard_turns`` turns together, as double arrays.
 
     Input: sorted by shard, sequence and depth.  The first symbol of a sequence
     stands for the upper node above its shard, so shards under one upper node meet
@@ -212,7 +212,7 @@ def pack(rows: DataFrame) -> DataFrame:
                 if cut > at:
                     held.append({c: v[at:cut] for c, v in col.items()})
                     count, at = count + cut - at, cut
-                if count >= SHARD_TURNS and cut < batch.num_rows:
+                if count >= shard_turns and cut < batch.num_rows:
                     yield pack_rows(held)
                     held, count = [], 0
             last = (col["r1"][-1], col["r2"][-1])
@@ -292,7 +292,7 @@ def prefix_nodes(convs: DataFrame, shard_turns: int = SHARD_TURNS) -> DataFrame:
                          F.coalesce("sha", F.lit("")).cast("binary").alias("sha"),
                          F.col("top.q1").alias("q1"), F.col("top.q2").alias("q2"), F.col("top.p1").alias("r1"), F.col("top.p2").alias("r2"))
     path = shared_path(convs.sparkSession, "tries")
-    pack(below.repartition("r1", "r2").sortWithinPartitions("r1", "r2", "conv_id", "depth")).write.parquet(path)
+    pack(below.repartition("r1", "r2").sortWithinPartitions("r1", "r2", "conv_id", "depth"), shard_turns).write.parquet(path)
     nodes = traverse(convs.sparkSession.read.parquet(path))
 
     # upper nodes: shared by shards, merged globally

@@ -59,9 +59,8 @@ def as_rows(df):
 
 
 @pytest.mark.parametrize("seed,shard", [(1, 50_000), (2, 1), (3, 7), (4, 60)])
-def test_equals_brute_force(spark, monkeypatch, seed, shard):
+def test_equals_brute_force(spark, seed, shard):
     from spark_ledger.llm import prefix_trie as m
-    monkeypatch.setattr(m, "SHARD_TURNS", shard)
     rows = made(seed)
     docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
     assert as_rows(m.prefix_nodes(docs, shard)) == brute(rows)
