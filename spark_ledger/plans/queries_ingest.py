@@ -33,9 +33,12 @@ def _target_staging(t: Tables):
 
 TS_SQL = with_clause("transactions") + """,
 tgt AS (SELECT * FROM transactions WHERE NOT contains(UPPER(description), 'ORIG CO')),
-labelled AS (SELECT *, unnest(CASE WHEN ABS(amount_cents) % 10 >= 5 THEN ['early', 'late'] ELSE ['early'] END) AS label FROM transactions),
-stg AS (SELECT txn_id, date, account_id, amount_cents, amount, description, MAX(label) AS category, memo, tags, is_transfer FROM labelled GROUP BY ALL),
-first_stg AS (SELECT txn_id, date, account_id, amount_cents, amount, description, MIN(label) AS category, memo, tags, is_transfer FROM labelled GROUP BY ALL)"""
+labelled AS (SELECT * EXCLUDE (category), row_idx, CASE row_idx WHEN 1 THEN 'early' ELSE 'late' END AS category
+             FROM transactions JOIN (VALUES (1), (2)) AS v(row_idx) ON row_idx = 1 OR ABS(amount_cents) % 10 >= 5),
+stg AS (SELECT DISTINCT ON (txn_id) txn_id, date, account_id, amount_cents, amount, description, category, memo, tags, is_transfer
+        FROM labelled ORDER BY txn_id, row_idx DESC, date DESC, account_id DESC, amount_cents DESC, description DESC),
+first_stg AS (SELECT DISTINCT ON (txn_id) txn_id, date, account_id, amount_cents, amount, description, category, memo, tags, is_transfer
+              FROM labelled ORDER BY txn_id, row_idx, date, account_id, amount_cents, description)"""
 
 
 @register("upsert_txns", TS_SQL + """
