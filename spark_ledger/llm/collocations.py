@@ -34,10 +34,10 @@ from spark_ledger.llm.chunks import slices
 from spark_ledger.llm.common import cut_lineage
 from spark_ledger.llm.words import mix
 
-SLICE_BYTES = 6_000_000    # text handled at a time
-BUCKET_BYTES = 8_000_000   # text whose windows make up one bucket, on average
+SLICE_BYTES = 3_000_000    # text handled at a time
+BUCKET_BYTES = 4_000_000   # text whose windows make up one bucket, on average
 SPREAD = 16                # buckets that one first word is spread over
-HELD = 1_500_000           # windows of a bucket that are held before they are summed
+HELD = 700_000             # windows of a bucket that are held before they are summed
 SALTS = 64                 # parts of a language in the first step of its ranking
 
 _LOWER = np.arange(256, dtype=np.uint8)
