@@ -32,3 +32,27 @@ def test_a_load_leaves_no_tables_between_its_steps(spark, tmp_path):
     load_batch(files.raw_lines(spark, str(tmp_path / "raw")), store)
     assert folders(spark) == before
     assert sorted(r.description for r in store.read(TRANSACTIONS).collect()) == ["coffee", "tea"]
+
+
+def test_lines_of_one_range_are_not_brought_together(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("n,t\n" + "".join(f"{i},x\n" for i in range(50)))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        rows = files.parsed_lines(spark, str(tmp_path))
+        assert "SortMergeJoin" not in plan(rows) and rows.count() == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_partitioned_csv_without_sort(spark, tmp_path):
+    df = spark.range(0, 4000, 1, 4).select((F.col("id") % 100).cast("string").alias("route"), "id")      # more values than open files
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    old = spark.conf.get(key, None)
+    root = str(tmp_path / "out")
+    sinks.write_partitioned_csv(df, root, ["route"], fresh=True)
+    assert spark.conf.get(key, None) == old
+    assert spark.read.option("header", True).csv(root).select(F.col("id").cast("long")).distinct().count() == 4000
+    assert all(len([f for f in os.listdir(f"{root}/route={i}") if f.endswith(".csv")]) == 1 for i in range(100))
+    with pytest.raises(Exception, match="(?i)already.exists"):
+        sinks.write_partitioned_csv(df, root, ["route"], fresh=True)
