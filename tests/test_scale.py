@@ -80,3 +80,22 @@ def test_upsert_carries_staged_rows_once(spark):
     got = upsert.upsert(target, staging, ["k"])
     assert plan(got).count("Window [row_number()") == 1                # looked at before it runs: a run adds the final plan
     assert sorted((tuple(r) for r in got.collect()), key=str) == [("a", 6), ("b", 3), ("c", 7), (None, 4), (None, 8)]
+
+
+def test_sequences_without_hot_groups_write_nothing(spark, monkeypatch):
+    df = spark.range(0, 3000, 1, 4).select(F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("k"), (-F.col("id")).alias("o"))
+    want = {}
+    for r in df.orderBy("o").collect():
+        want.setdefault(r.k, []).append(r.o)
+
+    def check(rows):
+        for r in rows:
+            assert want[r.k][r.n - 5] == r.o
+    before = folders(spark)
+    got = identity.sequence_within(df, ["k"], "o", "n", base=5)
+    check(got.collect())
+    assert folders(spark) == before and dict(got.dtypes)["n"] == "bigint"
+    monkeypatch.setattr(identity, "HOT_ROWS", 500)                     # the null group holds a third of the rows
+    got = identity.sequence_within(df, ["k"], "o", "n", base=5).collect()
+    assert folders(spark) != before and len(got) == 3000
+    check(got)
