@@ -99,3 +99,14 @@ def test_sequences_without_hot_groups_write_nothing(spark, monkeypatch):
     got = identity.sequence_within(df, ["k"], "o", "n", base=5).collect()
     assert folders(spark) != before and len(got) == 3000
     check(got)
+
+
+def test_rules_by_join_take_texts_from_the_rows_before_the_dedupe(spark):
+    t = spark.createDataFrame([("1", "Red bolt", 100), ("2", "red bolt", 100), ("3", "tea", 300), ("4", None, 400)],
+                              "txn_id string, description string, amount_cents long").withColumn("date", F.lit("2024-01-01").cast("date"))
+    r = spark.createDataFrame([("contains", "bolt", "Hardware", 1), ("regex", "^tea$", "Food", 2)],
+                              "match_type string, pattern string, category string, priority int")
+    kept = identity.dedupe_transactions(t)
+    a, b = rules.categorize(kept, r, method="join"), rules.categorize(kept, r, method="join", texts_of=t)
+    assert plan(b).count("Window [row_number()") == 1
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())) and a.columns == b.columns
