@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from spark_ledger.operators import identity, projection, rules, upsert
 from spark_ledger.operators.versions import TableStore
 from spark_ledger.session import checkpoint_dir, written
-from spark_ledger.sources import files, sinks
+from spark_ledger.sources import files, fixtures, sinks
 from spark_ledger.streaming.incremental import TRANSACTIONS, load_batch
 
 
@@ -110,3 +110,17 @@ def test_rules_by_join_take_texts_from_the_rows_before_the_dedupe(spark):
     a, b = rules.categorize(kept, r, method="join"), rules.categorize(kept, r, method="join", texts_of=t)
     assert plan(b).count("Window [row_number()") == 1
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())) and a.columns == b.columns
+
+
+def test_positions_are_dealt_once_into_tasks_that_grow_with_the_scan(spark, tmp_path):
+    d = dt.datetime
+    lines = [(1, 1, 2.0, 10.0, d(1995, 1, 3)), (1, 1, 3.0, 20.0, d(1995, 1, 30)), (1, 1, 1.0, 5.0, d(1995, 2, 1)), (2, 1, 1.0, 7.0, None),
+             (None, 1, 1.0, 8.0, d(1995, 1, 3)), (2, None, 4.0, None, d(1995, 1, 3)), (2, 1, 1.0, 7.0, None)]
+    spark.createDataFrame(lines, "l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz") \
+        .coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = fixtures.Tables(spark, str(tmp_path)).positions
+    want = fixtures.fixture(spark, str(tmp_path), "positions")
+    assert got.schema == want.schema and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    splits = spark.read.parquet(f"{tmp_path}/lineitem.parquet").rdd.getNumPartitions()
+    held = plan(projection.latest_positions(got.withColumnRenamed("market_value", "value")))
+    assert held.count("Exchange ") == 1 and f", {fixtures.POSITION_TASKS * splits}), REPARTITION_BY_NUM" in held
