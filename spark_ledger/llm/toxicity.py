@@ -25,8 +25,9 @@ from __future__ import annotations
 import functools
 import math
 import re
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -152,27 +153,33 @@ class BlockMaxIndex:
 
     FREQUENT = 16
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
-        self.n, self.n_terms = len(vectors), n_terms
-        size = np.array([len(t) for t, _ in vectors], np.int64)
-        self.start = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-        self.t = np.concatenate([np.zeros(0, np.int32), *(t for t, _ in vectors)]).astype(np.int32)
-        self.w = np.concatenate([np.zeros(0), *(w for _, w in vectors)])
+    def __init__(self, vectors: Iterable[tuple[np.ndarray, np.ndarray]], n_terms: int):
+        """The vectors are read once, one by one, so no second copy of them is held."""
+        self.n_terms, ends, t, w = n_terms, [0], array("i"), array("d")
+        for terms, weights in vectors:
+            t.frombytes(terms.astype(np.int32).tobytes())
+            w.frombytes(weights.astype(float).tobytes())
+            ends.append(len(t))
+        self.n, self.start = len(ends) - 1, np.array(ends, np.int64)
+        self.t, self.w = np.frombuffer(t, np.int32), np.frombuffer(w, float)
 
-        example = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(self.start))
         held = np.bincount(self.t, minlength=self.n_terms)
         often = np.flatnonzero(held * self.FREQUENT >= max(self.n, 1))
         self.row = np.full(self.n_terms, -1, np.int32)
         self.row[often] = np.arange(len(often))
+        self.size = np.where(self.row >= 0, 0, held).astype(np.int32)
+        self.first = np.cumsum(self.size) - self.size
         self.matrix = np.zeros((len(often), self.n), np.float32)
-        is_often = self.row[self.t] >= 0
-        self.matrix[self.row[self.t[is_often]], example[is_often]] = self.w[is_often]
-        rest = np.flatnonzero(~is_often)
-        rest = rest[np.argsort(self.t[rest], kind="stable")]
         # only to find candidates, so single precision does
-        self.post, self.post_w = example[rest], self.w[rest].astype(np.float32)
-        self.size = np.where(self.row >= 0, 0, held)
-        self.first = np.cumsum(self.size) - self.size
+        self.post, self.post_w = np.zeros(int(self.size.sum()), np.int32), np.zeros(int(self.size.sum()), np.float32)
+        free = self.first.copy()                       # next place of each term
+        for e in range(self.n):
+            terms, weights = self.t[ends[e]:ends[e + 1]], self.w[ends[e]:ends[e + 1]]
+            row = self.row[terms]
+            self.matrix[row[row >= 0], e] = weights[row >= 0]
+            at = free[terms[row < 0]]
+            self.post[at], self.post_w[at] = e, weights[row < 0]
+            free[terms[row < 0]] += 1
         self.query = np.zeros(self.n_terms)
         # twice what single precision can be off by for unit vectors
         self.margin = 2.4e-7 * (len(often) + 16)
@@ -258,12 +265,19 @@ class Model:
 
     def _open(self):
         if self.opened is None:
-            vectors = [weighted(np.cumsum(unpack(t, size, np.int32), dtype=np.int32), unpack(n, size, np.int32), self.weights) if size
-                       else (np.zeros(0, np.int64), np.zeros(0)) for size, t, n in self.packed]
-            bare = [y for v, y in zip(vectors, self.y) if not len(v[0])]
-            labels = np.array([y for v, y in zip(vectors, self.y) if len(v[0])], float)
-            index = BlockMaxIndex([v for v in vectors if len(v[0])], len(self.weights))
-            self.opened = index, labels, (sum(bare) + self.m * self.prior) / (len(bare) + self.m) if self.y else 0.5
+            labels, bare = array("d"), []
+
+            def vectors():
+                for y, (size, t, n) in zip(self.y, self.packed, strict=True):
+                    v = weighted(np.cumsum(unpack(t, size, np.int32), dtype=np.int32), unpack(n, size, np.int32), self.weights) if size else None
+                    if v and len(v[0]):
+                        labels.append(y)
+                        yield v
+                    else:
+                        bare.append(y)
+
+            index = BlockMaxIndex(vectors(), len(self.weights))
+            self.opened = index, np.array(labels), (sum(bare) + self.m * self.prior) / (len(bare) + self.m) if self.y else 0.5
         return self.opened
 
     def scores(self, texts: list[str]) -> list[float]:

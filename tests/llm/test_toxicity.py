@@ -1,6 +1,7 @@
 """Nearest-example toxicity scores against brute force and held-out rows."""
 
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -86,3 +87,29 @@ def test_counts_of_many_texts_equal_those_of_each():
         one = table.counts(text)
         assert t.tolist() == one[0].tolist() and n.tolist() == one[1].tolist()
         assert {terms[i]: c for i, c in zip(t.tolist(), n.tolist())} == {x: c for x, c in terms_of(text).items() if x in set(terms)}
+
+
+def test_the_index_is_made_without_a_second_copy_of_the_vectors():
+    from spark_ledger.llm.toxicity import BlockMaxIndex
+    rng = np.random.default_rng(3)
+
+    def vectors():
+        for _ in range(3000):
+            t = np.unique(rng.integers(0, 30_000, 400))
+            w = rng.random(len(t))
+            yield t, w / np.linalg.norm(w)
+
+    tracemalloc.start()
+    index = BlockMaxIndex(vectors(), 30_000)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    held = sum(x.nbytes for x in vars(index).values() if isinstance(x, np.ndarray))
+    assert index.n == 3000 and most < 1.25 * held
+    rng = np.random.default_rng(3)
+    every = list(vectors())
+    dense = np.zeros((3000, 30_000))
+    for i, (t, w) in enumerate(every):
+        dense[i, t] = w
+    for q in (0, 1, 2999):
+        want = sorted(((round(float(s), 9), -e) for e, s in enumerate(dense @ dense[q]) if s > 0), reverse=True)[:7]
+        assert [(round(s, 9), -e) for s, e in index.nearest(*every[q], 7)] == want
