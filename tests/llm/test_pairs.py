@@ -150,3 +150,22 @@ def test_packed_sets_round_trip():
     from spark_ledger.llm.ngram_join import packed, unpacked
     s = np.sort(np.random.default_rng(1).integers(0, 2**64, 100, np.uint64))
     assert (unpacked(packed(s)) == s >> np.uint64(16) << np.uint64(16)).all() and len(packed(s)) == 600 and len(unpacked(b"")) == 0
+
+
+def test_large_groups_of_like_texts_leave_links_only(spark):
+    import pyarrow as pa
+
+    from spark_ledger.llm import ngram_join as J
+    from spark_ledger.llm.words import WordHashes
+    # one passage of 70 % in every text, and two copies of each tail but for a word: pairs of one tail link, others are alike only
+    passage = [f"p{i}" for i in range(74)]
+    texts = [" ".join(passage + [f"t{k // 2}x{i}" for i in range(19)] + [f"e{k}"]) for k in range(160)]
+    sets = [J.token_set(t, WordHashes()) for t in texts]
+    ids = list(range(160))
+    group = pa.table({"doc": pa.array(ids, pa.int64()), "comp": pa.array(ids, pa.int64()), "n": pa.array([len(s) for s in sets], pa.int64()),
+                      "tokens": [J.packed(s) for s in sets], "sig": [J.signature(s).tobytes() for s in sets]})
+    got = J._second_links(group).to_pylist()
+    assert {(min(r.values()), max(r.values())) for r in got} == {(k, k + 1) for k in range(0, 160, 2)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = sorted((k, len(sets[k]), k - k % 2) for k in ids)
+    assert sorted(tuple(r) for r in J.near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()) == want
