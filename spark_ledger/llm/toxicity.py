@@ -8,10 +8,10 @@ the index; document frequencies come from the whole corpus.  A term's TF-IDF
 weight is multiplied by how far its odds differ between the classes of the
 examples (``relevance``), which does not depend on how frequent it is, so a rare
 language's insult weighs as much as a frequent one and the topic of a long text
-does not drown it.  Terms in a sixteenth of the examples or more are compared by
-a matrix product in single precision, the others by their postings; examples
-within the rounding error of the ``k``-th are compared again in double
-precision, so the ``k`` nearest are exact; ties go to the smaller example id.
+does not drown it.  Cosines are summed over postings; terms that weigh little for the
+postings they have are summed only for examples that a bound leaves (Cauchy-Schwarz on
+the norms of these weights), so the ``k`` nearest are exact; ties go to the smaller
+example id.
 
 Score: the votes of the neighbours weighted by cosine, with the examples' share
 of toxic rows as ``prior_weight`` further votes.  Texts with no term of any
@@ -31,6 +31,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +43,21 @@ PART = 1 << 14             # terms whose counts travel as one row
 
 PREFIXES = (3, 4, 5, 6, 7)
 OFTEN = (2, 4)             # a term counts again, as ``term>=n``, where it occurs so often
-MAX_WORDS = 50_000        # words remembered by a task's table
-_PARTS = re.compile(r"[^\W\d_]+|\0")
+#: of single-byte characters the same ones, others as spaces
+_LATIN = bytes(i if _WORD.match(chr(i)) else 32 for i in range(256))
+
+
+def words_of(texts: list[str]) -> list[str]:
+    """The words of lower-cased texts, a null character behind each text's."""
+    out: list[str] = []
+    for text in texts:
+        text = text.lower()
+        try:
+            out += text.encode("latin-1").translate(_LATIN).decode("latin-1").split()
+        except UnicodeEncodeError:
+            out += _WORD.findall(text)
+        out.append("\0")
+    return out
 
 
 def terms_of(text: str) -> dict[str, int]:
@@ -55,79 +69,93 @@ def terms_of(text: str) -> dict[str, int]:
     return out | {f"{t}>={k}": 1 for t, n in out.items() for k in OFTEN if n >= k}
 
 
-class WordTerms(dict):
-    """Word -> numbers of its plain terms, remembered up to a fixed number of words."""
+class WordTerms:
+    """Numbers of the terms of texts' words."""
 
     def __init__(self, terms: list[str]):
-        super().__init__()
-        self.number: dict[str, int] = {}
-        at, often = np.zeros(len(terms), np.int32), np.ones(len(terms), np.int32)
-        for i, t in enumerate(terms):
-            plain, _, k = t.partition(">=")
-            at[i] = self.number.setdefault(plain, len(self.number))
-            if k:
-                often[i] = int(k)
+        parts = [t.partition(">=") for t in terms]
+        plain = pa.array([p for p, *_ in parts], pa.string()).dictionary_encode()
+        at, often = plain.indices.to_numpy(), np.array([int(k or 1) for *_, k in parts], np.int32)
+        self.n_plain = len(plain.dictionary)
         # number of the term for a plain term that occurs once, and so often; -1: none
-        self.term = {k: np.full(len(self.number), -1, np.int32) for k in (1, *OFTEN)}
+        self.term = {k: np.full(self.n_plain, -1, np.int32) for k in (1, *OFTEN)}
         for k, of in self.term.items():
             of[at[often == k]] = np.flatnonzero(often == k)
-
-    def __missing__(self, word: str) -> list[int]:
-        if len(self) > MAX_WORDS:
-            self.clear()
-        names = [word] + [word[:n] + "*" for n in PREFIXES if len(word) > n]
-        got = self[word] = [self.number[t] for t in names if t in self.number]
-        return got
+        # plain terms and their numbers: words (0) and beginnings by their length
+        names, kind = plain.dictionary.to_pylist(), {}
+        for i, p in enumerate(names):
+            kind.setdefault(len(p) - 1 if p.endswith("*") else 0, []).append(i)
+        self.known = {k: (pa.array([names[i].removesuffix("*") for i in of], pa.string()), np.array(of + [-1], np.int32))
+                      for k, of in kind.items()}
+
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """A row of each word's numbers of plain terms, -1 where it has none."""
+        out = np.full((len(words), 1 + len(PREFIXES)), -1, np.int32)
+        size = pc.utf8_length(words).to_numpy()
+        for i, k in enumerate((0, *PREFIXES)):
+            if k in self.known:
+                names, number = self.known[k]
+                at = np.flatnonzero(size > k)
+                some = words.take(pa.array(at))
+                some = pc.utf8_slice_codeunits(some, 0, k) if k else some
+                out[at, i] = number[pc.index_in(some, value_set=names).fill_null(-1).to_numpy()]
+        return out
 
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the text's terms, ascending, and their occurrences."""
-        plain: list[int] = []
-        times: list[int] = []
-        for word, n in Counter(_WORD.findall(text.lower())).items():
-            got = self[word]
-            plain += got
-            times += [n] * len(got)
-        at, back = np.unique(np.array(plain, np.int64), return_inverse=True)
-        n = np.bincount(back, times, len(at)) if len(at) else np.zeros(0)
-        t = np.concatenate([self.term[1][at], *(self.term[k][at[n >= k]] for k in OFTEN)])
-        n = np.concatenate([n, np.ones(len(t) - len(n))])
-        t, n = t[t >= 0], n[t >= 0]
-        order = np.argsort(t)
-        return t[order], n[order]
-
-
-    def counts_many(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """``counts`` of many texts at once: each distinct word is looked up once
-        and (text, term) pairs are summed by one sort."""
-        if not texts:
-            return []
-        parts = pa.array(_PARTS.findall("\0".join(t.replace("\0", " ") for t in texts).lower() + "\0"), pa.string()).dictionary_encode()
-        code, words = parts.indices.to_numpy().astype(np.int64), parts.dictionary.to_pylist()
-        cut = code == words.index("\0")
-        text = np.cumsum(cut)[~cut]
-        pair, n = np.unique(text * len(words) + code[~cut], return_counts=True)
-        text, code = np.divmod(pair, len(words))
-        got = [self[w] for w in words]
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((i for x in got for i in x), np.int64, int(size.sum()))
+        return self.counts_many([text])[0]
+
+    def pairs(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Texts' positions, numbers of their terms and occurrences, in no certain order:
+        each distinct word is looked up once and (text, term) pairs are summed by one
+        sort of plain numbers, occurrences in their lowest bits."""
+        parts = pa.array(words_of(texts), pa.string()).dictionary_encode()
+        code, words = parts.indices.to_numpy().astype(np.int64), parts.dictionary
+        cut = code == words.index("\0").as_py()
+        text, bits = np.cumsum(cut)[~cut], len(words).bit_length()
+        pair, n = np.unique(text << bits | code[~cut], return_counts=True)
+        text, code = pair >> bits, pair & (1 << bits) - 1
+        got = self.numbers(words)
+        size, flat = (got >= 0).sum(axis=1), got[got >= 0].astype(np.int64)
         at = _spans((np.cumsum(size) - size)[code], size[code])
-        plain = max(len(self.number), 1)
-        key = np.repeat(text * plain, size[code]) + flat[at]
-        order = np.argsort(key, kind="stable")
-        key, n = key[order], np.repeat(n, size[code])[order]
+        bits, low = self.n_plain.bit_length(), int(n.max(initial=0)).bit_length()
+        key = np.sort((np.repeat(text << bits, size[code]) | flat[at]) << low | np.repeat(n, size[code]))
+        n, key = key & (1 << low) - 1, key >> low
         first = np.flatnonzero(np.diff(key, prepend=-1))
-        n = np.add.reduceat(n, first).astype(float) if len(first) else np.zeros(0)
-        text, at = np.divmod(key[first], plain)
-        more = [n >= k for k in OFTEN]
+        n = np.add.reduceat(n, first) if len(first) else n
+        text, at = key[first] >> bits, key[first] & (1 << bits) - 1
+        more = [np.flatnonzero(n >= k) for k in OFTEN]
         t = np.concatenate([self.term[1][at], *(self.term[k][at[m]] for k, m in zip(OFTEN, more, strict=True))])
         text = np.concatenate([text, *(text[m] for m in more)])
-        n = np.concatenate([n, np.ones(len(t) - len(n))])
-        text, t, n = text[t >= 0], t[t >= 0], n[t >= 0]
-        order = np.lexsort((t, text))
-        t, n, cuts = t[order], n[order], np.searchsorted(text[order], np.arange(1, len(texts)))
+        n = np.concatenate([n, np.ones(len(t) - len(n), np.int64)])
+        keep = t >= 0
+        return text[keep], t[keep], n[keep]
+
+    def counts_many(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``counts`` of many texts at once."""
+        if not texts:
+            return []
+        text, t, n = self.pairs(texts)
+        bits, low = int(t.max(initial=0)).bit_length(), int(n.max(initial=0)).bit_length()
+        key = np.sort((text << bits | t) << low | n)
+        n, key = (key & (1 << low) - 1).astype(float), key >> low
+        t, cuts = key & (1 << bits) - 1, np.searchsorted(key >> bits, np.arange(1, len(texts)))
         return list(zip(np.split(t, cuts), np.split(n, cuts), strict=True))
 
 
+def portions(texts: list[str], rows: int = 1024, size: int = 1 << 21) -> Iterator[list[str]]:
+    """The texts in order, so many at a time, or fewer of long ones."""
+    some, held = [], 0
+    for t in texts:
+        if some and (len(some) == rows or held + len(t) > size):
+            yield some
+            some, held = [], 0
+        some.append(t)
+        held += len(t)
+    if some:
+        yield some
+
+
 def weighted(t: np.ndarray, n: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Term numbers and unit-length weights."""
     w = (1 + np.log(n)) * weights[t]
@@ -148,10 +176,14 @@ def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class BlockMaxIndex:
-    """Exact nearest unit vectors: ``FREQUENT`` terms as a matrix, others as postings.
+    """Exact nearest unit vectors.  Light terms, those of least weight for the postings that
+    queries would read (``LIGHT`` of the squared weights), are left out at first: the norms
+    of an example's light weights, in ``BANDS`` of terms, bound what they can add, so
+    they are summed only for examples that may be among the nearest.
     (The name is older: whole texts share so many terms that bounds of blocks prune none.)"""
 
-    FREQUENT = 16
+    LIGHT = 0.01
+    BANDS = 8
 
     def __init__(self, vectors: Iterable[tuple[np.ndarray, np.ndarray]], n_terms: int):
         """The vectors are read once, one by one, so no second copy of them is held."""
@@ -163,54 +195,81 @@ class BlockMaxIndex:
         self.n, self.start = len(ends) - 1, np.array(ends, np.int64)
         self.t, self.w = np.frombuffer(t, np.int32), np.frombuffer(w, float)
 
-        held = np.bincount(self.t, minlength=self.n_terms)
-        often = np.flatnonzero(held * self.FREQUENT >= max(self.n, 1))
-        self.row = np.full(self.n_terms, -1, np.int32)
-        self.row[often] = np.arange(len(often))
-        self.size = np.where(self.row >= 0, 0, held).astype(np.int32)
-        self.first = np.cumsum(self.size) - self.size
-        self.matrix = np.zeros((len(often), self.n), np.float32)
+        held, energy = np.bincount(self.t, minlength=n_terms), np.zeros(n_terms)
+        for e in range(self.n):
+            energy[self.t[ends[e]:ends[e + 1]]] += self.w[ends[e]:ends[e + 1]] ** 2
+        rank = np.flatnonzero(held)
+        rank = rank[np.argsort(energy[rank] / held[rank] ** 2.0, kind="stable")]
+        share = np.cumsum(energy[rank]) / max(float(energy.sum()), 1e-300) / self.LIGHT
+        # light terms have the first numbers, so their weights in a query lie together
+        self.band = (share[share < 1] * self.BANDS).astype(np.int8)
+        order = np.argsort(held == 0, kind="stable")
+        order[:len(rank)] = rank
+        self.number = np.empty(n_terms, np.int32)
+        self.number[order] = np.arange(n_terms)
+        held = held[order]
+        self.size, self.first = held.astype(np.int32), np.cumsum(held) - held
         # only to find candidates, so single precision does
-        self.post, self.post_w = np.zeros(int(self.size.sum()), np.int32), np.zeros(int(self.size.sum()), np.float32)
-        free = self.first.copy()                       # next place of each term
+        self.post, self.post_w = np.zeros(len(self.t), np.int32), np.zeros(len(self.t), np.float32)
+        self.few, self.norms = np.zeros(self.n, np.int64), np.zeros((self.n, self.BANDS))
+        free = self.first.copy()                           # next place of each term
         for e in range(self.n):
             terms, weights = self.t[ends[e]:ends[e + 1]], self.w[ends[e]:ends[e + 1]]
-            row = self.row[terms]
-            self.matrix[row[row >= 0], e] = weights[row >= 0]
-            at = free[terms[row < 0]]
-            self.post[at], self.post_w[at] = e, weights[row < 0]
-            free[terms[row < 0]] += 1
-        self.query = np.zeros(self.n_terms)
-        # twice what single precision can be off by for unit vectors
-        self.margin = 2.4e-7 * (len(often) + 16)
+            number = self.number[terms]
+            order = np.argsort(number >= len(self.band), kind="stable")       # light terms stand first
+            terms[:], weights[:] = number[order], weights[order]
+            self.post[free[terms]], self.post_w[free[terms]] = e, weights
+            free[terms] += 1
+            self.few[e] = few = int((terms < len(self.band)).sum())
+            self.norms[e] = np.sqrt(np.bincount(self.band[terms[:few]], weights[:few] ** 2, self.BANDS))
+        self.query = np.zeros(n_terms)
 
     def many(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[float, int]]]:
         """Of each vector the ``k`` examples of largest positive cosine as ``(cosine, example)``."""
-        if not self.n:
-            return [[] for _ in vectors]
-        q = np.zeros((len(vectors), len(self.matrix)), np.float32)
-        for i, (t, w) in enumerate(vectors):
-            row = self.row[t]
-            q[i, row[row >= 0]] = w[row >= 0]
-        near = q @ self.matrix
-        return [self._best(near[i], t, w, k) for i, (t, w) in enumerate(vectors)]
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
-        return self.many([(terms, weights)], k)[0]
+        return [self.nearest(t, w, k) for t, w in vectors]
 
-    def _best(self, near: np.ndarray, t: np.ndarray, w: np.ndarray, k: int) -> list[tuple[float, int]]:
+    def _add(self, t: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """What the terms' postings add to each example's cosine."""
         size = self.size[t]
         at = _spans(self.first[t], size)
-        near = near + np.bincount(self.post[at], self.post_w[at] * np.repeat(w, size), self.n)
-        least = np.partition(near, self.n - k)[self.n - k] - self.margin if self.n > k else 0.0
-        some = np.flatnonzero((near >= least) & (near > 0))
-        self.query[t] = w
-        found = []
-        for e in some.tolist():
-            a, b = self.start[e], self.start[e + 1]
-            found.append((round(float(self.w[a:b] @ self.query[self.t[a:b]]), 12), e))
-        self.query[t] = 0
-        return sorted((x for x in found if x[0] > 0), key=lambda x: (-x[0], x[1]))[:k]
+        return np.bincount(self.post.take(at), self.post_w.take(at) * np.repeat(w, size), self.n)
+
+    def _sums(self, some: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """What the first terms of some examples add to their cosines."""
+        if not len(some):
+            return np.zeros(0)
+        first = self.start[some]
+        spans = list(map(slice, first.tolist(), (first + size).tolist()))
+        both = self.query.take(np.concatenate([self.t[s] for s in spans])) * np.concatenate([self.w[s] for s in spans])
+        return np.bincount(np.repeat(np.arange(len(some)), size), both, len(some))
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
+        if not self.n:
+            return []
+        terms = self.number[terms]
+        self.query[terms] = weights
+        light = terms < len(self.band)
+        near = self._add(terms[~light], weights[~light])
+        norm = np.sqrt(np.bincount(self.band[terms[light]], weights[light] ** 2, self.BANDS))
+        some = np.argpartition(near, self.n - k)[self.n - k:] if self.n > k else np.arange(self.n)
+        cosine = near[some] + self._sums(some, self.few[some])
+        # the k-th nearest is as near at least; single precision is off by 6e-8 at most
+        least = max(float(cosine.min()) - 2e-7, 0.0) if self.n > k else 0.0
+        bound = near + self.norms @ norm + 1e-7
+        bound[some] = -1
+        rest = np.flatnonzero(bound >= least)
+        if int(self.few[rest].sum()) > int(self.size[terms[light]].sum()):
+            near = near + self._add(terms[light], weights[light])
+            more = near[rest]
+        else:
+            more = near[rest] + self._sums(rest, self.few[rest])
+        some, cosine = np.concatenate([some, rest]), np.concatenate([cosine, more])
+        if len(some) > k:
+            some = some[cosine >= np.partition(cosine, len(some) - k)[len(some) - k] - 2e-7]
+        some = np.sort(some)
+        found = zip(self._sums(some, self.start[some + 1] - self.start[some]).tolist(), some.tolist())
+        self.query[terms] = 0
+        return sorted(((round(c, 12), e) for c, e in found if round(c, 12) > 0), key=lambda x: (-x[0], x[1]))[:k]
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -326,10 +385,8 @@ def corpus_counts(docs: DataFrame, sent, n_terms: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, n = sent.value.table(), np.zeros(n_terms + 1, np.int64)
         for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                some = [t or "" for t in batch.column(0).slice(first, 256).to_pylist()]
-                held = [t for t, _ in words.counts_many(some)]
-                n[:n_terms] += np.bincount(np.concatenate(held), minlength=n_terms)
+            for some in portions([t or "" for t in batch.column(0).to_pylist()]):
+                n[:n_terms] += np.bincount(words.pairs(some)[1], minlength=n_terms)
             n[n_terms] += batch.num_rows
         rows = [(i, n[i * PART:(i + 1) * PART]) for i in range(n_terms // PART + 1)] if n[n_terms] else []
         yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int32()),
@@ -375,7 +432,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 8000, k: int = 1
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = sent.value.table()
         for batch in batches:
-            got = [words.counts(t.as_py()) for t in batch.column(2)]
+            got = [x for some in portions(batch.column(2).to_pylist()) for x in words.counts_many(some)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array([t.astype(np.int32).tobytes() for t, _ in got], pa.binary()),
                  pa.array([n.astype(np.int32).tobytes() for _, n in got], pa.binary())], ["doc_id", "toxic", "t", "n"])
@@ -394,10 +451,8 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in batches:
-            for first in range(0, batch.num_rows, 128):
-                some = batch.slice(first, 128)
-                got = model.scores([t.as_py() or "" for t in some.column(1)])
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(got, pa.float64())], ["doc_id", "score"])
+            got = [x for some in portions([t or "" for t in batch.column(1).to_pylist()]) for x in model.scores(some)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.float64())], ["doc_id", "score"])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))

@@ -113,3 +113,35 @@ def test_the_index_is_made_without_a_second_copy_of_the_vectors():
     for q in (0, 1, 2999):
         want = sorted(((round(float(s), 9), -e) for e, s in enumerate(dense @ dense[q]) if s > 0), reverse=True)[:7]
         assert [(round(s, 9), -e) for s, e in index.nearest(*every[q], 7)] == want
+
+
+def test_light_terms_are_summed_for_few_examples_and_the_nearest_stay_exact(monkeypatch):
+    from spark_ledger.llm.toxicity import BlockMaxIndex, weighted
+    rng = np.random.default_rng(4)
+    scale = np.concatenate([np.full(300, .02), rng.uniform(.5, 2, 4700)])             # 300 frequent terms weigh little
+
+    def vectors(n):
+        for _ in range(n):
+            t = np.unique(np.concatenate([rng.choice(300, 150, replace=False), 300 + rng.integers(0, 4700, 40)]))
+            yield weighted(t, rng.integers(1, 5, len(t)).astype(float), scale)
+
+    every, queries = list(vectors(1500)), list(vectors(40)) + [weighted(np.arange(5), np.ones(5), scale)]
+    dense = np.zeros((1500, 5000))
+    for i, (t, w) in enumerate(every):
+        dense[i, t] = w
+    index, compared, sums = BlockMaxIndex(every, 5000), [], BlockMaxIndex._sums
+    monkeypatch.setattr(BlockMaxIndex, "_sums", lambda self, some, size: compared.append(len(some)) or sums(self, some, size))
+    for i, (t, w) in enumerate(queries):
+        want = sorted(((round(float(s), 9), -e) for e, s in enumerate(dense[:, t] @ w) if s > 0), reverse=True)[:15]
+        assert [(round(s, 9), -e) for s, e in index.nearest(t, w, 15)] == want
+    assert sum(compared) < len(queries) * 1500 / 5
+
+
+def test_portions_and_words():
+    from spark_ledger.llm.toxicity import _WORD, portions, words_of
+    texts = ["a" * 9, "", "b", "c" * 30, "d", "e"]
+    assert list(portions(texts, 2, 10)) == [texts[:2], texts[2:3], texts[3:4], texts[4:]]
+    assert list(portions([])) == []
+    odd = "".join(map(chr, range(256))) + " Ünï_cöde² x\x85y\xa0z"
+    for text in (odd, odd + " Σίσυφος ΟΔΟΣ 日本語", ""):
+        assert words_of([text]) == _WORD.findall(text.lower()) + ["\0"]
