@@ -169,3 +169,16 @@ def test_large_groups_of_like_texts_leave_links_only(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     want = sorted((k, len(sets[k]), k - k % 2) for k in ids)
     assert sorted(tuple(r) for r in J.near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()) == want
+
+
+def test_rows_of_tokens_are_written_compressed_and_given_back(spark, monkeypatch):
+    from spark_ledger.llm import ngram_join as J
+    rnd, words, given, give = random.Random(6), [f"w{i}" for i in range(500)], [], J.release
+    monkeypatch.setattr(J, "release", lambda s, *paths: given.extend(paths) or give(s, *paths))
+    texts = copies(rnd, words, 20, 80, 4) + copies(rnd, words, 20, 60, 4)
+    got = {r["component_id"] for r in J.near_duplicates(table(spark, texts)).collect()}
+    assert {0, 20} <= got
+    kinds = [p.rsplit("/llm-", 1)[1].rsplit("-", 1)[0] for p in given]
+    assert sorted(kinds) == ["rows", "rows", "sets", "shingles"]
+    fs = spark._jvm.org.apache.hadoop.fs.Path(given[0]).getFileSystem(spark._jsc.hadoopConfiguration())
+    assert not any(fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p)) for p in given)
