@@ -182,3 +182,32 @@ def test_rows_of_tokens_are_written_compressed_and_given_back(spark, monkeypatch
     assert sorted(kinds) == ["rows", "rows", "sets", "shingles"]
     fs = spark._jvm.org.apache.hadoop.fs.Path(given[0]).getFileSystem(spark._jsc.hadoopConfiguration())
     assert not any(fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p)) for p in given)
+
+
+def test_large_sets_in_mixed_groups_are_told_apart_by_their_own_signatures():
+    """A tree folds signatures to those of its smallest set; pairs that remain are
+    looked at by as many bits as both have before any set moves."""
+    from spark_ledger.llm import ngram_join as J
+    rng = np.random.default_rng(3)
+    sizes = [64]
+    while sizes[-1] < 2000:
+        sizes.append(sizes[-1] * 6 // 5)
+    sets = [np.sort(rng.integers(0, 2**63, n).astype(np.uint64)) for n in sizes]
+    far, near = sets[-1].copy(), sets[-1].copy()
+    far[::3], near[::50] = rng.integers(0, 2**63, len(far[::3])), rng.integers(0, 2**63, len(near[::50]))
+    sets += [np.sort(far), np.sort(near)]
+    n, last = np.array([len(s) for s in sets], np.int64), len(sizes) - 1
+    got = {tuple(sorted(x)) for x in J.tree_links(n, np.arange(len(sets)), [J.signature(s) for s in sets])}
+    assert got == {(last, last + 2)}
+
+
+def test_sets_in_buckets_do_not_travel(spark):
+    from spark_ledger.llm.common import bucketed, drop_bucketed, release, shared_path
+    path = shared_path(spark, "sets")
+    held = bucketed(spark.range(5000).selectExpr("id AS doc", "repeat('x', 50) AS tokens"), path, "doc")
+    j = spark.range(0, 10000, 2).selectExpr("id AS doc").repartition(3).join(held.hint("merge"), "doc")
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(doc") == 1 and "Bucketed: true" in plan
+    assert j.count() == 2500
+    drop_bucketed(spark, path)
+    release(spark, path)
