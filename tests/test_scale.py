@@ -124,3 +124,19 @@ def test_positions_are_dealt_once_into_tasks_that_grow_with_the_scan(spark, tmp_
     splits = spark.read.parquet(f"{tmp_path}/lineitem.parquet").rdd.getNumPartitions()
     held = plan(projection.latest_positions(got.withColumnRenamed("market_value", "value")))
     assert held.count("Exchange ") == 1 and f", {fixtures.POSITION_TASKS * splits}), REPARTITION_BY_NUM" in held
+
+
+def test_selections_read_one_dedupe_of_narrow_rows(spark, tmp_path, monkeypatch):
+    """filter_propagation: one dedupe, whose texts and ids go before its result is written."""
+    from spark_ledger.plans import queries_context as Q
+    kept, put = [], Q.written
+    monkeypatch.setattr(Q, "written", lambda df: kept.append(df) or put(df))
+    spark.range(1, 60).selectExpr("id AS l_orderkey", "id % 5 AS l_partkey", "id % 3 AS l_suppkey", "int(id % 4) AS l_linenumber", "double(id) AS l_extendedprice",
+                                  "'N' AS l_returnflag", "timestamp'1997-03-05 00:00:00' AS l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(5).selectExpr("id AS p_partkey", "'hot ring' AS p_name", "'Brand#12' AS p_brand", "'ECONOMY' AS p_type").write.parquet(f"{tmp_path}/part.parquet")
+    df = Q.q_filter_propagation(spark, str(tmp_path))
+    assert [k.columns for k in kept] == [["date", "category", "amount_cents"]]
+    assert "WindowGroupLimit" not in df._jdf.queryExecution().executedPlan().toString()
+    plan = kept[0]._jdf.queryExecution().executedPlan().toString()
+    dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning(__key" in x]
+    assert len(dealt) == 1 and "description" not in plan.split(dealt[0])[0] and df.count() > 0
