@@ -9,6 +9,9 @@ match); if a block shares ``c`` words with a template, one of the first
 block.  Blocks that are too short, and matches whose positions leave fewer than
 ``c`` words behind them, are dropped before the overlap is counted.
 
+Every text is cut into words once: phrases are found there, and the templates' words
+and line breaks are written as a narrow table from which frequencies and blocks come.
+
 Only DataFrame functions are used.  What is broadcast or collected is the
 template vocabulary, whose size is that of the template list.  Null and empty
 texts have no words; repeated rows give repeated results; an empty table gives
@@ -20,9 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spark_ledger.llm.common import ascii_lower
+from spark_ledger.llm.common import ascii_lower, shared_path
 
-WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"          # after lower-casing
 ANY_CASE_WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
 #: fixed values: phrase -> label
@@ -64,28 +66,50 @@ def _in(words, vocabulary):
     return F.filter(F.transform(near, ascii_lower), lambda w: w.isin(vocabulary))
 
 
-def _all_words(text):
-    return F.regexp_extract_all(text, F.lit(ANY_CASE_WORD), F.lit(0))
-
-
 def needed(size: int, threshold: int) -> int:
     """Words that a block must share with a template of ``size`` words."""
     return max(1, -(-size * threshold // 100))
 
 
-def vocabulary_order(docs: DataFrame, vocabulary: list[str]) -> list[str]:
+def cut_texts(docs: DataFrame, vocabulary: list[str], phrases: dict[str, str] = PHRASES) -> DataFrame:
+    """``doc_id, n_words, n_base, first_word, last_word, found`` (base labels) and
+    ``near``: words of the vocabulary, lower-cased, and line breaks, in their order.
+
+    Texts are cut into words here and nowhere else; the array stands in a generator,
+    so it is made once for all columns."""
+    texts = docs.select("doc_id", F.explode(F.array(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"\n|{ANY_CASE_WORD}"), F.lit(0)))).alias("all"))
+    d = texts.select("doc_id", "all", F.explode(F.array(_in(F.col("all"), ["\n", *sorted({*vocabulary, *" ".join(phrases).split()})]))).alias("near"))
+    may = F.lit(False)
+    for phrase in phrases:
+        hit = F.lit(True)
+        for word in phrase.split():
+            hit = hit & F.array_contains("near", word)
+        may = may | hit
+    breaks = F.size(F.filter("near", lambda w: w == "\n"))
+    words = F.when(may, F.transform(F.filter("all", lambda w: w != "\n"), ascii_lower))        # the others have no place
+    d = d.select("doc_id", "near", (F.size("all") - breaks).cast("long").alias("n_words"), words.alias("w"))
+    d = d.select("doc_id", "near", "n_words", F.concat(*(_places(phrase.split(), label) for phrase, label in phrases.items())).alias("hits"))
+    at = F.transform("hits", lambda h: h["at"])
+    d = d.select("doc_id", "near", "n_words", F.coalesce(F.size("hits"), F.lit(0)).alias("n"), at.alias("at"),
+                 F.transform("hits", lambda h: h["label"]).alias("labels"))
+    return d.select("doc_id", "near", "n_words", F.greatest("n", F.lit(0)).cast("long").alias("n_base"), F.array_min("at").alias("first_word"),
+                    F.array_max("at").alias("last_word"), F.coalesce(F.array_sort(F.array_distinct("labels")), F.array().cast("array<string>"))
+                    .alias("found"))
+
+
+def vocabulary_order(cut: DataFrame, vocabulary: list[str]) -> list[str]:
     """The template vocabulary, rarest in the corpus first."""
-    counts = (docs.select(F.explode(_in(_all_words(F.coalesce("text", F.lit(""))), vocabulary)).alias("word"))
-              .groupBy("word").count())
+    counts = cut.select(F.explode("near").alias("word")).groupBy("word").count()
     seen = {r["word"]: r["count"] for r in counts.collect()}       # at most the vocabulary
     return sorted(vocabulary, key=lambda w: (seen.get(w, 0), w))
 
 
-def block_matches(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: int = THRESHOLD) -> DataFrame:
+def block_matches(cut: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: int = THRESHOLD) -> DataFrame:
     """``doc_id, block, label, containment``: every line (numbered from 0) and
-    template with at least ``threshold`` per cent of the template's words."""
+    template with at least ``threshold`` per cent of the template's words, from
+    ``cut_texts`` over the templates' words."""
     sets = {label: set(text.split()) for label, text in templates.items()}
-    order = vocabulary_order(docs, sorted(set().union(*sets.values())))
+    order = vocabulary_order(cut, sorted(set().union(*sets.values())))
     rank = {w: i for i, w in enumerate(order)}
     tokens, rows = [], []
     for label, words in sorted(sets.items()):
@@ -94,15 +118,17 @@ def block_matches(docs: DataFrame, templates: dict[str, str] = TEMPLATES, thresh
         tokens += [(label, r, i, len(ranks), c) for i, r in enumerate(ranks[:len(ranks) - c + 1])]
     first = sorted({order[t[1]] for t in tokens})
     least = min(t[4] for t in tokens)
-    one = docs.sparkSession.range(1)
+    one = cut.sparkSession.range(1)
     prefix = one.select(F.inline(F.array(*(F.struct(F.lit(a).alias("label"), F.lit(r).alias("rank"), F.lit(i).alias("t_pos"),
                                                     F.lit(n).alias("t_size"), F.lit(c).alias("c")) for a, r, i, n, c in tokens))))
     table = one.select(F.inline(F.array(*rows)))
-    text = F.coalesce("text", F.lit(""))
-    near = docs.where(F.arrays_overlap(_in(_all_words(text), first), F.array(*map(F.lit, first))))
-    ranks = F.sort_array(F.transform(F.array_distinct(_in(_all_words(F.col("line")), order)),
-                                     lambda w: (F.array_position(F.array(*map(F.lit, order)), w) - 1).cast("int")))
-    blocks = (near.select("doc_id", F.posexplode(F.split(text, "\n")).alias("block", "line"))
+    near = cut.where(F.arrays_overlap("near", F.array(*map(F.lit, first))))
+    ends = F.filter(F.transform("near", lambda w, i: F.when(w == "\n", i + 1)), lambda i: i.isNotNull())     # line breaks, from 1
+    lines = F.zip_with(F.concat(F.array(F.lit(0)), ends), F.concat(ends, F.array(F.size("near") + 1)),
+                       lambda a, b: F.slice("near", a + 1, b - a - 1))
+    places = F.array(*map(F.lit, order))
+    ranks = F.sort_array(F.transform(F.filter(F.array_distinct("line"), lambda w: w.isin(order)), lambda w: (F.array_position(places, w) - 1).cast("int")))
+    blocks = (near.select("doc_id", F.posexplode(lines).alias("block", "line"))
               .select("doc_id", "block", ranks.alias("ranks")).where(F.size("ranks") >= least))
     pairs = (blocks.select("doc_id", "block", "ranks", F.posexplode("ranks").alias("pos", "rank"))
              .join(F.broadcast(prefix), "rank")
@@ -122,38 +148,17 @@ def _places(parts: list[str], label: str):
     return F.filter(at, lambda x: x.isNotNull())
 
 
-def phrase_places(docs: DataFrame, phrases: dict[str, str] = PHRASES) -> DataFrame:
-    """``doc_id, n_words, n_base, first_word, last_word, found`` (base labels)."""
-    text = F.coalesce("text", F.lit(""))
-    d = docs.select("doc_id", text.alias("text"), F.regexp_count(text, F.lit(ANY_CASE_WORD)).cast("long").alias("n_words"))
-    # a text without the rarest part of any phrase has no place; others are cut into words
-    may = F.lit(False)
-    for phrase in phrases:
-        hit = F.lit(True)
-        for word in phrase.split():
-            hit = hit & F.contains(F.lower("text"), F.lit(word))
-        may = may | hit
-    words = F.when(may, F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(WORD), F.lit(0)))
-    d = d.select("doc_id", "n_words", words.alias("w"))
-    hits = []
-    for phrase, label in phrases.items():
-        hits.append(_places(phrase.split(), label))
-    d = d.select("doc_id", "n_words", F.concat(*hits).alias("hits"))
-    at = F.transform("hits", lambda h: h["at"])
-    return d.select("doc_id", "n_words", F.coalesce(F.size("hits"), F.lit(0)).alias("n"), at.alias("at"),
-                    F.transform("hits", lambda h: h["label"]).alias("labels")).select(
-        "doc_id", "n_words", F.greatest("n", F.lit(0)).cast("long").alias("n_base"), F.array_min("at").alias("first_word"),
-        F.array_max("at").alias("last_word"), F.coalesce(F.array_sort(F.array_distinct("labels")), F.array().cast("array<string>"))
-        .alias("found"))
-
-
 def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: int = THRESHOLD) -> DataFrame:
     """One row per document with its phrases' places and all labels; ``score`` is
     1 for a phrase, else the largest containment of a matching block."""
-    per_doc = block_matches(docs, templates, threshold).groupBy("doc_id").agg(
+    spark = docs.sparkSession
+    path = shared_path(spark, "licenses")
+    cut_texts(docs, sorted(set(" ".join(templates.values()).split()))).write.parquet(path)
+    cut = spark.read.parquet(path)
+    per_doc = block_matches(cut, templates, threshold).groupBy("doc_id").agg(
         F.collect_set("label").alias("more"), F.max("containment").alias("best"))
     none = F.array().cast("array<string>")
-    return (phrase_places(docs).join(per_doc, "doc_id", "left")
+    return (cut.drop("near").join(per_doc, "doc_id", "left")
             .select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("found", ",").alias("base_labels"),
                     F.array_join(F.array_sort(F.array_union("found", F.coalesce("more", none))), ",").alias("labels"),
                     F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce("best", F.lit(0.0))).alias("score")))

@@ -223,3 +223,17 @@ def test_substring_dedup_null_and_shared_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(((r["doc_id"] or 0), r["n_words"], r["n_removed"]) for r in substring_dedup(docs, 50).collect())
     assert got == [(0, 60, 0), (0, 70, 0), (1, 1, 0), (1, 61, 0), (2, 60, 0), (2, 70, 0), (3, 61, 60), (3, 61, 60), (4, 70, 70)]
+
+
+def test_licenses_cut_texts_once(spark, monkeypatch):
+    from spark_ledger.llm import licenses
+    docs = table(spark, ["Released under the\n\nMIT license\n", "\n\nreleased UNDER the mit license\n", None, "x mit\nlicense y"], extra="labels")
+    plans, cut = [], licenses.cut_texts
+    monkeypatch.setattr(licenses, "cut_texts", lambda *a: plans.append(cut(*a)) or plans[-1])
+    got = licenses.license_scan(docs)
+    assert len(plans) == 1 and plans[0]._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    assert "regexp_extract_all" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["doc_id"], r["n_words"], r["first_word"], r["last_word"], r["labels"]) for r in got.collect()} == {
+        (0, 5, 3, 3, "mit"), (1, 5, 3, 3, "mit,notice:mit"), (2, 0, None, None, ""), (3, 4, 1, 1, "mit")}
+    blocks = licenses.block_matches(plans[0]).collect()
+    assert [(r["doc_id"], r["block"], r["label"], r["containment"]) for r in blocks] == [(1, 2, "notice:mit", 1.0)]
