@@ -140,3 +140,33 @@ def test_selections_read_one_dedupe_of_narrow_rows(spark, tmp_path, monkeypatch)
     plan = kept[0]._jdf.queryExecution().executedPlan().toString()
     dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning(__key" in x]
     assert len(dealt) == 1 and "description" not in plan.split(dealt[0])[0] and df.count() > 0
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    from spark_ledger.sources import files
+    for i in range(200):
+        (tmp_path / f"f{i:03}.csv").write_text(f"a,b\n{i},x\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16m")
+    try:
+        lines = files.ordered_lines(files.raw_lines(spark, str(tmp_path)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    # by Spark's own count of 4 MB a file, 16 MB would hold four files: 50 tasks
+    assert len(lines.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism < 50 and lines.count() == 400
+    assert spark.conf.get("spark.sql.files.openCostInBytes") in ("4MB", "4194304", "4194304b")
+
+
+def test_amounts_of_positions_are_parsed_once_for_all_layouts(spark, tmp_path, monkeypatch):
+    from spark_ledger.sources import vendors
+    for vendor, text in (("chase", "Ticker,Quantity,Price,Value,Description\nP1,2,$3.00,\"1,006.00\",Fund\n"),
+                         ("alight", "Fund Name,Units Held,Unit Price,Closing Balance\nBig Fund,,,(7.50)\n"),
+                         ("fidelity", "Symbol,Description,Quantity,Last Price,Current Value\n,My fund,2,4,\n")):
+        (tmp_path / "raw" / vendor / "r").mkdir(parents=True)
+        (tmp_path / "raw" / vendor / "r" / "2024-01-31-positions.csv").write_text(text)
+    calls, parse = [], vendors.parse_money
+    monkeypatch.setattr(vendors, "parse_money", lambda c: calls.append(1) or parse(c))
+    got = vendors.normalize_positions(spark, str(tmp_path / "raw"))
+    assert len(calls) == 3
+    assert {(r["vendor"], r["symbol"], r["shares"], r["market_value"]) for r in got.collect()} == {
+        ("chase", "P1", 2.0, 1006.0), ("alight", "BIG_FUND", -7.5, -7.5), ("fidelity", "MY_FUND", 2.0, 8.0)}
