@@ -170,3 +170,21 @@ def test_amounts_of_positions_are_parsed_once_for_all_layouts(spark, tmp_path, m
     assert len(calls) == 3
     assert {(r["vendor"], r["symbol"], r["shares"], r["market_value"]) for r in got.collect()} == {
         ("chase", "P1", 2.0, 1006.0), ("alight", "BIG_FUND", -7.5, -7.5), ("fidelity", "MY_FUND", 2.0, 8.0)}
+
+
+def test_tables_on_the_way_to_a_result_go_once_it_is_written(spark, tmp_path):
+    import os
+
+    from spark_ledger.session import only_result, scratch, written
+    folder = lambda df: os.path.dirname(df.inputFiles()[0].removeprefix("file://"))
+    seen = []
+
+    def make():
+        seen.append(folder(a := written(spark.range(5))))
+        return a.selectExpr("id + 1 AS id")
+    with scratch(spark):
+        out = only_result(spark, make)
+        assert not os.path.exists(seen[0]) and sorted(r[0] for r in out.collect()) == [1, 2, 3, 4, 5]
+        seen.append(folder(out))
+        assert os.path.exists(seen[1])
+    assert not os.path.exists(seen[1])
